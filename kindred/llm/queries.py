@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, secrets
+from . import bpe, decontaminate, language, licenses, quality, secrets, toxicity
 
 
 def _table(name: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -14,12 +14,19 @@ def _table(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 _documents = _table("documents")
+_labels = _table("labels")
+_benchmark = _table("benchmark")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_toxicity": lambda s, d: toxicity.digest(_documents(s, d), _labels(s, d)),
+        "op2_language_id": lambda s, d: language.digest(_documents(s, d)),
+        "op3_decontaminate": lambda s, d: decontaminate.digest(_documents(s, d), _benchmark(s, d)),
         "op5_secret_scan": lambda s, d: secrets.digest(_documents(s, d)),
+        "op7_quality_rules": lambda s, d: quality.digest(_documents(s, d)),
         "op8_bpe": lambda s, d: bpe.digest(_documents(s, d)),
+        "op9_license_scan": lambda s, d: licenses.scan_licenses(_documents(s, d)),
     }
 
 
