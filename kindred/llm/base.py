@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 import atexit
+import os
+import sys
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,12 +52,61 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], sch
 
 def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """mapInArrow with bounded batches."""
+    ship(df.sparkSession)
     conf = df.sparkSession.conf
     conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return df.mapInArrow(run, schema)
 
 
+_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_bytes = np.random.default_rng(17).integers(1, 2**63, 256, np.uint64)
+
+
+def mix(h: np.ndarray) -> np.ndarray:
+    """Scrambles 64-bit integers, one to one."""
+    h = h ^ (h >> np.uint64(32))
+    h = h * np.uint64(0xD6E8FEB86659FD93)
+    h = h ^ (h >> np.uint64(32))
+    h = h * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(32))
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of data[start:end]: differences of prefix sums of byte values times powers of an odd base, mod 2**64. The same in every process."""
+    if len(_powers[0]) < len(data) + 1:
+        for k, odd in enumerate((0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 2**64))):
+            p = np.full(len(data) + 1, odd, np.uint64)
+            p[0] = 1
+            _powers[k] = np.cumprod(p)
+    up, down = _powers
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_bytes[data] * up[: len(data)], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once for each application; they need not have it installed."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = Path(__file__).resolve().parent.parent
+    if str(root.parent) not in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        holder = tempfile.TemporaryDirectory(prefix="kindred-")  # Spark serves the file from here until the end
+        atexit.register(holder.cleanup)
+        path = Path(holder.name, f"{root.name}.zip")
+        with zipfile.ZipFile(path, "w") as z:
+            for p in sorted(root.rglob("*.py")):
+                z.write(p, p.relative_to(root.parent))
+        at = list(sys.path)
+        spark.sparkContext.addPyFile(str(path))
+        sys.path[:] = at  # the driver has the package already
+    _shipped.add(app)
+
+
 _own: list[str] = []
 
 

@@ -51,27 +51,6 @@ def byte_chars() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-_bytes = np.random.default_rng(17).integers(1, 2**63, 256, np.uint64)
-
-
-def chunk_hashes(data: np.ndarray, cuts: np.ndarray) -> np.ndarray:
-    """64-bit hashes of data[cuts[i]:cuts[i+1]]: differences of prefix sums of byte values times powers of an odd base, mod 2**64."""
-    if len(_powers[0]) < len(data) + 1:
-        for k, base_ in enumerate((0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 2**64))):
-            p = np.full(len(data) + 1, base_, np.uint64)
-            p[0] = 1
-            _powers[k] = np.cumprod(p)
-    up, down = _powers
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_bytes[data] * up[: len(data)], out=sums[1:])
-    a, b = cuts[:-1], cuts[1:]
-    h = (sums[b] - sums[a]) * down[a] + (b - a).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-    h ^= h >> np.uint64(32)
-    h *= np.uint64(0xD6E8FEB86659FD93)
-    return h ^ (h >> np.uint64(32))
-
-
 class PairTable:
     """(left id, right id) -> rank, by levels of multiplicative hashing: what collides on one level moves to the next."""
 
@@ -300,7 +279,7 @@ class Tokenizer:
         mark = data == 32
         mark[heads] = True
         cuts = np.append(np.flatnonzero(mark), len(data))
-        h = chunk_hashes(data, cuts)
+        h = base.span_hashes(data, cuts[:-1], cuts[1:])
         distinct, at, of = np.unique(h, return_index=True, return_inverse=True)
         names = distinct.tolist()
         if len(self.slots) + len(names) > CACHE:

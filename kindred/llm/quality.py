@@ -35,7 +35,7 @@ GAMMA = (1 + RELATIVE) / (1 - RELATIVE)
 MIN_GROUP = 200
 FENCE = 6.0
 #: Ratios that are limited from above, and from below; the least distance of a limit from the median.
-SLACK = {"symbols": 0.5, "repeats": 0.15, "dup_lines": 0.3, "long_words": 3.0}
+SLACK = {"symbols": 0.3, "repeats": 0.2, "dup_lines": 0.5, "long_words": 4.0}
 
 
 def repeat_words(texts: list[list[bytes]], window: int = REPEAT_WINDOW) -> np.ndarray:
