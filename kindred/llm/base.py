@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Arrow batches are bounded in bytes as well as rows, so that a batch of very long texts stays small.
 BATCH_BYTES = "16m"
@@ -39,7 +40,7 @@ def texts_of(documents: DataFrame, *columns: str) -> DataFrame:
     return documents.select(*[F.col(f"`{c}`").cast("long").alias(c) if c.endswith("_id") else F.col(f"`{c}`").cast("string").alias(c) for c in columns])
 
 
-def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | StructType) -> DataFrame:
     """One output batch for each input batch, bounded in rows and bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -50,7 +51,7 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], sch
     return map_batches(df, run, schema)
 
 
-def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     """mapInArrow with bounded batches."""
     ship(df.sparkSession)
     conf = df.sparkSession.conf

@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from . import base
 
@@ -376,6 +377,29 @@ def decode(encoded: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
     return base.map_arrow(encoded.select("doc_id", "ids"), fn, "doc_id long, text string")
 
 
+OWN = ("n_tokens", "ids", "round_trip")
+
+
+def tokenize(documents: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
+    """The documents with n_tokens, ids, and round_trip: whether the decoded ids are the text (null counts as empty). Columns of these names that came in are replaced."""
+    spec = documents.sparkSession.sparkContext.broadcast(_spec(tokenizer_path))
+    d = documents.drop(*OWN)
+    at = d.columns.index("text")
+
+    def fn(b: pa.RecordBatch) -> pa.RecordBatch:
+        tok = load(spec.value)
+        texts = [t or "" for t in b.column(at).to_pylist()]
+        with no_gc():
+            encoded = [ids for run in _slices(texts) for ids in tok.encode_many(run)]
+            same = [tok.decode(ids.tolist()) == t for ids, t in zip(encoded, texts, strict=True)]
+        n = np.array([len(x) for x in encoded], np.int64)
+        ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *encoded])))
+        return pa.RecordBatch.from_arrays([*b.columns, pa.array(n), ids, pa.array(same, pa.bool_())], [*b.schema.names, *OWN])
+
+    schema = T.StructType([*d.schema.fields, T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("round_trip", T.BooleanType())])
+    return base.map_arrow(d, fn, schema)
+
+
 def digest(documents: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
     """The contract columns. Each text is encoded, and its ids decoded, in one pass; neither ids nor decoded texts leave the worker."""
     spec = documents.sparkSession.sparkContext.broadcast(_spec(tokenizer_path))
