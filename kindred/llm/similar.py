@@ -12,8 +12,10 @@ only qualifying groups are opened, their members bounded in the same way, and th
 A neighbourhood of more than BLOCK sets is cut into blocks, and each task takes one pair of blocks, so
 no task holds more than 2 * BLOCK sets; the links found are joined to components over all tasks.
 
-Exactness: segments of fewer than two shingles, which unrelated sets may share, are replaced by pairs of that
-segment and a segment of a second cut, of which linked sets share one for the same reason. Set ids, segment
+Exactness: segments of fewer than two shingles are weak: unrelated sets may share them. There are SPARE more segments
+than needed, so linked sets agree on one more than SPARE; a set with at most SPARE weak segments shares a strong
+one and emits no weak ones. Otherwise a weak segment is replaced by its pairs with the segments of a second
+cut, of which linked sets share one for the same reason. Set ids, segment
 signatures and shingles are 64-bit hashes.
 
 Defined results: null texts and texts without words have an empty set, 0 shingles, and are linked with nothing. A text
@@ -39,7 +41,8 @@ NUM, DEN = 9, 10
 BLOCK = 2000
 #: Members of a group of the token-group matrix.
 GROUP = 64
-LEVEL, FIRST = 1.5, 9
+#: Sizes of levels grow by LEVEL; a set of at most FIRST shingles is linked with no other set of that size or less.
+LEVEL, FIRST, SPARE = 1.3, 9, 3
 #: Bytes of text whose words are held at once.
 SLICE = 1 << 20
 SEEN = 500_000
@@ -104,17 +107,19 @@ def set_id(shingles: np.ndarray) -> int:
     return int(base.mix(np.array([x], np.uint64)).view(np.int64)[0])
 
 
-_levels: list[tuple[int, int]] = []
+_levels: list[tuple[int, int, int]] = []
 
 
-def levels(n: int) -> list[tuple[int, int]]:
-    """(level, segments) in which a set of n shingles takes part: that of its size, and the next if a linked set may be in it."""
+def levels(n: int) -> list[tuple[int, int, int]]:
+    """(level, segments, spare segments) in which a set of n shingles takes part: that of its size, and the next if a linked set may be in it."""
     while not _levels or _levels[-1][0] < 2 * n:
         size = int(_levels[-1][0] * LEVEL) if _levels else FIRST
-        _levels.append((size, 2 * size // (2 * DEN - 1) + 1))
-    own = next(i for i, (size, _) in enumerate(_levels) if n <= size)
+        differ = 2 * size // (2 * DEN - 1)
+        spare = SPARE + differ // 24 if differ else 0
+        _levels.append((size, differ + 1 + spare, spare))
+    own = next(i for i, (size, *_) in enumerate(_levels) if n <= size)
     both = [own, own + 1] if DEN * n > NUM * _levels[own][0] else [own]
-    return [(i, _levels[i][1]) for i in both if _levels[i][1] > 1]
+    return [(i, *_levels[i][1:]) for i in both if _levels[i][1] > 1]
 
 
 def segment_keys(shingles: np.ndarray) -> np.ndarray:
@@ -122,14 +127,14 @@ def segment_keys(shingles: np.ndarray) -> np.ndarray:
     out = []
     scrambled = base.mix(shingles + B)
     sums = np.concatenate([[np.uint64(0)], np.cumsum(scrambled, dtype=np.uint64)])
-    for level, m in levels(len(shingles)):
+    for level, m, spare in levels(len(shingles)):
         segment = (((shingles >> HIGH) * np.uint64(m)) >> HIGH).astype(np.int64)
         cuts = np.append(np.searchsorted(segment, np.arange(m)), len(shingles))
         place = base.mix(np.arange(m, dtype=np.uint64) + np.uint64(level * 1_000_003 + 1))
         keys = base.mix((sums[cuts[1:]] - sums[cuts[:-1]]) ^ place)
         weak = np.diff(cuts) < 2
         out.append(keys[~weak])
-        if weak.any():
+        if weak.sum() > spare:
             at = ((scrambled >> HIGH) * np.uint64(m)) >> HIGH
             second = np.zeros(m, np.uint64)
             np.add.at(second, at.astype(np.int64), base.mix(shingles ^ A))
