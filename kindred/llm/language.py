@@ -27,7 +27,7 @@ from . import base
 BITS = 12
 SIZE = 1 << BITS
 SAMPLE, CLUSTERS, ROUNDS = 400, 3, 12
-REJECT = 0.2
+REJECT = 0.1
 #: Texts whose vectors are held at once.
 BLOCK = 256
 

@@ -9,8 +9,8 @@ The others fall into neighbourhoods: components of the graph that joins sets sha
 similar sets are partitioned into groups, and each group stores its token union as a row of a bit matrix. A set
 is compared with all rows at once: the popcount of the overlap bounds what it can share with any member;
 only qualifying groups are opened, their members bounded in the same way, and the survivors compared exactly.
-A neighbourhood of more than BLOCK sets is cut into blocks, and each task takes one pair of blocks, so
-no task holds more than 2 * BLOCK sets; the links found are joined to components over all tasks.
+A large neighbourhood is cut into blocks of about ROOT * sqrt(its sets), within BLOCKS, and each task takes one
+pair of blocks, so no task holds more than 2 * BLOCKS[1] sets; the links found are joined to components over all tasks.
 
 Exactness: segments of fewer than two shingles are weak: unrelated sets may share them. There are SPARE more segments
 than needed, so linked sets agree on one more than SPARE; a set with at most SPARE weak segments shares a strong
@@ -38,7 +38,7 @@ from .graph import components
 SHINGLE = 3
 #: Linked: intersection / union >= NUM / DEN.
 NUM, DEN = 9, 10
-BLOCK = 2000
+BLOCKS, ROOT = (250, 4000), 8
 #: Members of a group of the token-group matrix.
 GROUP = 64
 #: Sizes of levels grow by LEVEL; a set of at most FIRST shingles is linked with no other set of that size or less.
@@ -320,8 +320,8 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield r
 
 
-def link_documents(documents: DataFrame, block: int = BLOCK) -> DataFrame:
-    """doc_id, n_shingles and component_id: the smallest doc_id reachable by links."""
+def link_documents(documents: DataFrame, blocks: tuple[int, int] = BLOCKS) -> DataFrame:
+    """doc_id, n_shingles and component_id: the smallest doc_id reachable by links. blocks: the least and the greatest size of a block."""
     d = base.texts_of(documents, "doc_id", "text")
     whole = d.where("doc_id is not null and text is not null")
     met = base.map_batches(base.map_batches(whole, _emit, ROWS).repartition("key").sortWithinPartitions("kind", "key", "a"), _meet, ROWS)
@@ -329,7 +329,8 @@ def link_documents(documents: DataFrame, block: int = BLOCK) -> DataFrame:
     docs = met.where(f"kind = {DOC}").select(F.col("a").alias("doc_id"), F.col("b").alias("sid"), F.col("n").alias("n_shingles"))
     reps = base.cut(docs.groupBy("sid").agg(F.min("doc_id").alias("rep")))
     near = base.cut(components(met.where(f"kind = {EDGE}").select("a", "b")))
-    many = near.groupBy("component").agg(F.ceil(F.count("*") / block).cast("int").alias("k"))
+    size = F.greatest(F.least(ROOT * F.sqrt(F.count("*")), F.lit(blocks[1])), F.lit(blocks[0]))
+    many = near.groupBy("component").agg(F.ceil(F.count("*") / size).cast("int").alias("k"))
     near = near.join(many, "component").select(F.col("node").alias("sid"), F.col("component").alias("near"), "k")
     # a set's block, and the pairs of blocks that hold it
     own = F.pmod(F.xxhash64("sid"), F.col("k")).cast("int")
