@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
 import os
 import sys
 import tempfile
@@ -18,8 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 #: Arrow batches are bounded in bytes as well as rows, so that a batch of very long texts stays small.
-BATCH_BYTES = "16m"
-BATCH_ROWS = "4000"
+BATCH_BYTES = "4m"
+BATCH_ROWS = "2000"
 
 #: A-Z lower-cased; everything but digits, letters and non-ASCII bytes becomes a space.
 WORDS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -57,7 +59,21 @@ def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterato
     conf = df.sparkSession.conf
     conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
-    return df.mapInArrow(run, schema)
+
+    def run_and_release(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return df.mapInArrow(run_and_release, schema)
+
+
+def release() -> None:
+    """Gives freed memory back to the system: workers stay for later tasks, and what they hold counts for the executor."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not glibc
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
