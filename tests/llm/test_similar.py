@@ -5,8 +5,9 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pytest
 
-from kindred.llm import similar
+from kindred.llm import graph, similar
 from kindred.llm.graph import components
 from tests.llm.conftest import prose
 
@@ -123,7 +124,9 @@ def _groups(root, n):
     return out.values()
 
 
-def test_components(spark):
+@pytest.mark.parametrize("part", [200_000, 7])
+def test_components(spark, monkeypatch, part):
+    monkeypatch.setattr(graph, "PART", part)
     rng = random.Random(4)
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(1, 60)] + [(500 + rng.randrange(50), 500 + rng.randrange(50)) for _ in range(40)] + [(7, 7), (None, 3)]
     top = {}
