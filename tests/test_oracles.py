@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+import pandas as pd
 import pytest
 
 from kindred.plans import oracles, queries
@@ -14,7 +15,8 @@ SOME = ("preprocess", "ground_truth_list", "block_passes", "pool_sizes", "block_
 
 def rows(df):
     df = df[sorted(df.columns)]
-    return sorted(tuple(repr(round(float(v), 6)) if isinstance(v, float) else str(v) for v in r) for r in df.itertuples(index=False))
+    text = lambda v: "null" if pd.isna(v) else repr(round(float(v), 6)) if isinstance(v, float) else str(v)
+    return sorted(tuple(map(text, r)) for r in df.itertuples(index=False))
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
