@@ -2,8 +2,8 @@
 
 A string drawn at random splits into many short tokens under a byte-pair vocabulary, prose and
 identifiers into few long ones. Candidates are maximal runs of credential characters of at least
-MIN_RUN characters that mix letters and digits; those with fewer than MAX_RATIO characters a token
-are reported as kind ``entropy``, except known digests and identifiers (see ``KNOWN``).
+MIN_RUN characters; those with fewer than MAX_RATIO characters a token are reported as kind
+``entropy``, except known digests and identifiers (see ``KNOWN``).
 
 Defined results: a null or empty text has no spans. Offsets are code points, end exclusive.
 Repeated rows are scanned each for itself; null ids pass through.
@@ -35,11 +35,10 @@ RUN_CLASS = bytes(120 if chr(i) in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqr
 #: Random strings: least length, and the characters a token below which a run counts as random.
 MIN_RUN, MAX_RATIO = 20, 2.0
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_RUN)
-#: Known digests and identifiers: UUIDs; pure decimal or hexadecimal strings (digests: hex is a base kind of its own); dates and times; paths and words joined by separators.
-KNOWN = re.compile(
-    r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|[0-9a-fA-F]+|[0-9_+/=-]+|(sha\d{1,3}|md5)[-_:=/]?[A-Za-z0-9+/=]+|([A-Za-z]+|[0-9]{1,8})([-_/=+]+([A-Za-z]+|[0-9]{1,8}))*"
-)
-CAMEL = re.compile(r"[A-Z]?[a-z]{3,}|[A-Z]{2,}(?![a-z])|\d{1,4}|[-_/=+]")
+#: Known digests and identifiers: UUIDs; pure decimal or hexadecimal strings (digests: hex is a base kind of its own); dates and times; digests named as such.
+KNOWN = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|[0-9a-fA-F]+|[0-9_+/=-]+|(sha\d{1,3}|md5)[-_:=/]?[A-Za-z0-9+/=]+")
+#: Numbers and dates between separators of an identifier; the rest decides.
+NUMBER = re.compile(r"(?<![A-Za-z0-9])[0-9]{1,8}(?![A-Za-z0-9])")
 
 
 @lru_cache(maxsize=2)
@@ -51,12 +50,11 @@ def _encoding(ranks: bytes):
 
 
 def is_random(s: str, encoding) -> bool:
-    """Whether a run of credential characters reads as random: mixed letters and digits, no known form, few characters a token."""
-    if not (any(c.isdigit() for c in s) and any(c.isalpha() for c in s)):
+    """Whether a run of credential characters reads as random: no known form, few characters a token."""
+    if KNOWN.fullmatch(s):
         return False
-    if KNOWN.fullmatch(s) or not CAMEL.sub("", s):
-        return False
-    return len(s) < MAX_RATIO * len(encoding.encode_ordinary(s))
+    rest = NUMBER.sub("", s)
+    return len(rest) < MAX_RATIO * len(encoding.encode_ordinary(rest))
 
 
 def scan(data: bytes, encoding) -> list[tuple[int, int, str]]:

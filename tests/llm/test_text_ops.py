@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import string
 from collections import Counter, defaultdict
 
 import pytest
@@ -118,6 +120,17 @@ def test_secrets(make, corpus):
     assert all(masked[i].text == t for i, t, _, _ in corpus) and len(masked) == len({d[0] for d in docs})
 
 
+def test_random_strings_of_any_alphabet_are_found():
+    rng = random.Random(7)
+    enc = secrets._encoding(secrets._ranks(None))
+    letters = string.ascii_letters
+    for alphabet, n, least in ((letters, 20, 0.99), (letters, 40, 0.99), (string.ascii_uppercase + "234567", 20, 0.99), (string.ascii_uppercase + string.digits, 20, 0.99), (string.ascii_lowercase, 32, 0.9)):
+        found = [secrets.scan(f"a {''.join(rng.choices(alphabet, k=n))} b".encode(), enc) for _ in range(300)]
+        assert sum(x == [(2, 2 + n, "entropy")] for x in found) >= least * 300, alphabet
+    for s in ("getElementByIdAndClassName", "module_2024_01_15_final_v2", "src/main/java/com/example", "MAX_CONNECTION_POOL_SIZE", "HTTPResponseParserFactory", "123e4567-e89b-12d3-a456-426614174000", "=" * 40, "2024-01-15_2024-02-16", "Rechtsschutzversicherungsgesellschaften"):
+        assert secrets.scan(s.encode(), enc) == [], s
+
+
 # op9
 
 
