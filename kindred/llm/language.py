@@ -4,7 +4,10 @@ A text is the vector of log(1 + count) * idf over hashed byte bigrams and trigra
 length 1. Each language has up to CLUSTERS centroids, found by spherical k-means on at most SAMPLE texts
 of it (the bound of the fitted sample; texts are chosen by a hash of their id). Document frequencies are
 counted over all texts to learn from. The language of the most similar centroid by cosine is predicted;
-a text whose cosine is below REJECT of what the language's own texts reach (their 1 % quantile) is rejected.
+a text whose cosine is below the language's floor is rejected. The floor is the geometric mean of what the
+language's own texts reach (their 1 % quantile) and of what texts of no language reach (random letters, of
+lengths up to thousands of words); the hash is wide enough that foreign n-grams meet few of the language's.
+Texts of a few words reach less: below FULL n-grams the floor goes down, geometrically, to what a few random words reach.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0 and rejected. Ties go to
 the first language by name. Without a text to learn from every text is ``und``. Repeated rows are
@@ -14,6 +17,7 @@ predicted each for itself; a null id takes no part in learning and counts as not
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,12 +28,13 @@ from pyspark.sql import functions as F
 
 from . import base
 
-BITS = 12
+BITS = 15
 SIZE = 1 << BITS
 SAMPLE, CLUSTERS, ROUNDS = 400, 3, 12
-REJECT = 0.1
-#: Texts whose vectors are held at once.
-BLOCK = 256
+#: Texts of random letters: words, and how many texts of each length.
+UNRELATED, DRAWS = (3, 30, 300, 3000), 8
+#: N-grams from which a text counts as long.
+FULL = 400
 
 LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 ASCII_LETTER = re.compile(rb"[A-Za-z]")
@@ -58,22 +63,29 @@ class Model:
     idf: np.ndarray
     centroids: np.ndarray  # rows of length 1
     of: np.ndarray  # the language of each centroid
-    floor: np.ndarray  # by language: the cosine below which a text is rejected
+    floor: np.ndarray  # by language: the cosine below which a long text is rejected
+    short: np.ndarray  # and one of hardly any n-grams
 
     def vectors(self, raw: np.ndarray) -> np.ndarray:
         x = np.log1p(raw.astype(np.float32)) * self.idf
         return x / np.maximum(np.sqrt((x * x).sum(1, keepdims=True)), 1e-12)
 
+    def cosines(self, raw: np.ndarray) -> np.ndarray:
+        """The cosine with each centroid."""
+        some = np.flatnonzero(raw)
+        x = np.log1p(raw[some].astype(np.float32)) * self.idf[some]
+        return (self.centroids[:, some] @ x) / max(float(np.sqrt((x * x).sum())), 1e-12)
+
     def predict(self, texts: list[bytes]) -> list[tuple[str, float, bool]]:
         out: list[tuple[str, float, bool]] = [("und", 0.0, True)] * len(texts)
         at = [i for i, t in enumerate(texts) if self.langs and has_letter(t)]
-        for s in range(0, len(at), BLOCK):
-            part = at[s : s + BLOCK]
-            cos = self.vectors(np.stack([counts(texts[i]) for i in part])) @ self.centroids.T
-            best = cos.argmax(1)
-            for i, b, c in zip(part, best.tolist(), np.clip(cos[np.arange(len(part)), best], 0, 1).tolist(), strict=True):
-                lang = int(self.of[b])
-                out[i] = (self.langs[lang], c, c < self.floor[lang])
+        for i in at:
+            raw = counts(texts[i])
+            cos = self.cosines(raw)
+            best = int(cos.argmax())
+            lang, c = int(self.of[best]), float(min(max(cos[best], 0), 1))
+            long = min(1.0, int(raw.sum()) / FULL)
+            out[i] = (self.langs[lang], c, bool(c < self.short[lang] ** (1 - long) * self.floor[lang] ** long))
         return out
 
 
@@ -90,6 +102,18 @@ def k_means(x: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
     return c
 
 
+def unrelated() -> list[bytes]:
+    """Texts of words of random letters."""
+    rng = np.random.default_rng(0)
+    out = []
+    for n in UNRELATED:
+        for _ in range(DRAWS):
+            letters = rng.integers(97, 123, 10 * n, dtype=np.uint8)
+            letters[np.cumsum(rng.integers(3, 10, n))] = 32
+            out.append(letters.tobytes())
+    return out
+
+
 def fit(documents: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS) -> Model:
     """Learns from text and lang of the given documents (with doc_id, which only picks the sample)."""
     known = base.texts_of(documents, "doc_id", "text", "lang").where("doc_id is not null and lang is not null and text is not null")
@@ -109,7 +133,7 @@ def fit(documents: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS) ->
                     df += raw > 0
                     texts += 1
                     if u < rate.get(lang, 0):
-                        picked.append((u, lang, np.minimum(raw, 65_535).astype("<u2").tobytes()))
+                        picked.append((u, lang, zlib.compress(np.minimum(raw, 65_535).astype("<u2").tobytes(), 1)))
             if picked:
                 none = [None] * len(picked)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((none, none, *zip(*picked, strict=True)), schema.types, strict=True)], schema=schema)
@@ -121,18 +145,23 @@ def fit(documents: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS) ->
     df = np.array([total.get(b, 0) for b in range(SIZE)], np.float64)
     idf = (np.log((1 + total.get(-1, 0)) / (1 + df)) + 0.1).astype(np.float32)
     langs = sorted(per_lang)
-    model = Model([], idf, np.zeros((0, SIZE), np.float32), np.zeros(0, np.int64), np.zeros(0))
+    model = Model([], idf, np.zeros((0, SIZE), np.float32), np.zeros(0, np.int64), np.zeros(0), np.zeros(0))
     for lang in langs:
         rows = gathered.where(F.col("raw").isNotNull() & (F.col("lang") == lang)).orderBy("unit", "raw").limit(sample).select("raw").collect()
         if not rows:
             continue
-        x = model.vectors(np.stack([np.frombuffer(r.raw, "<u2") for r in rows]))
+        x = model.vectors(np.stack([np.frombuffer(zlib.decompress(r.raw), "<u2") for r in rows]))
         c = k_means(x, clusters)
         reach = np.quantile((x @ c.T).max(1), 0.01)
         model.centroids = np.concatenate([model.centroids, c])
         model.of = np.append(model.of, np.full(len(c), len(model.langs), np.int64))
-        model.floor = np.append(model.floor, REJECT * reach)
+        model.floor = np.append(model.floor, reach)
         model.langs.append(lang)
+    if model.langs:
+        cos = np.stack([model.cosines(counts(t)) for t in unrelated()])
+        noise, few = (np.array([x[:, model.of == i].max() for i in range(len(model.langs))]) for x in (cos, cos[:DRAWS]))
+        model.floor = np.minimum(np.sqrt(model.floor * noise), model.floor)
+        model.short = np.minimum(few, model.floor)
     return model
 
 
