@@ -1,7 +1,7 @@
 """N-gram Jaccard join with a token-group matrix.
 
 A document is the set of its distinct word shingles, as sorted 64-bit hashes; documents of equal sets
-share a set id and take part once. Linked sets (Jaccard at least 0.9) of sizes a and b differ in at most
+share a set id and take part once. A Rule gives width and similarity. Linked sets (Jaccard at least 0.9; others alike) of sizes a and b differ in at most
 (a + b) / 19 shingles, so when the shingles' hash range is cut into one segment more than that, linked sets
 agree on a whole segment. Sets that share no segment with another set are linked with nothing and end here.
 
@@ -26,6 +26,8 @@ rows of one id and text give equal rows; rows of one id with different texts tak
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +43,8 @@ NUM, DEN = 9, 10
 BLOCKS, ROOT = (250, 4000), 8
 #: Members of a group of the token-group matrix.
 GROUP = 64
-#: Sizes of levels grow by LEVEL; a set of at most FIRST shingles is linked with no other set of that size or less.
-LEVEL, FIRST, SPARE = 1.3, 9, 3
+#: Sizes of levels grow by LEVEL from Rule.first.
+LEVEL, SPARE = 1.3, 3
 #: Bytes of text whose words are held at once.
 SLICE = 1 << 20
 SEEN = 500_000
@@ -107,27 +109,58 @@ def set_id(shingles: np.ndarray) -> int:
     return int(base.mix(np.array([x], np.uint64)).view(np.int64)[0])
 
 
-_levels: list[tuple[int, int, int]] = []
+@dataclass(frozen=True)
+class Rule:
+    """Linked: intersection / union of the sets of shingles of `width` words >= num / den. Linked sets of sizes a and b differ in at most (a + b) * (den - num) / (den + num) shingles."""
 
+    width: int = SHINGLE
+    num: int = NUM
+    den: int = DEN
 
-def levels(n: int) -> list[tuple[int, int, int]]:
-    """(level, segments, spare segments) in which a set of n shingles takes part: that of its size, and the next if a linked set may be in it."""
-    while not _levels or _levels[-1][0] < 2 * n:
-        size = int(_levels[-1][0] * LEVEL) if _levels else FIRST
-        differ = 2 * size // (2 * DEN - 1)
-        spare = SPARE + differ // 24 if differ else 0
-        _levels.append((size, differ + 1 + spare, spare))
-    own = next(i for i, (size, *_) in enumerate(_levels) if n <= size)
-    both = [own, own + 1] if DEN * n > NUM * _levels[own][0] else [own]
-    return [(i, *_levels[i][1:]) for i in both if _levels[i][1] > 1]
+    def differ(self, total: int) -> int:
+        """The most shingles in which linked sets of this sum of sizes differ."""
+        return total * (self.den - self.num) // (self.den + self.num)
 
+    @property
+    def first(self) -> int:
+        """A set of at most so many shingles is linked with no other set of that size or less."""
+        return (self.den + self.num - 1) // (2 * (self.den - self.num))
 
-def segment_keys(shingles: np.ndarray) -> np.ndarray:
+    def spare(self, differ: int) -> int:
+        """Spare segments: the more shingles may differ, the smaller the segments and the more of them are weak."""
+        return SPARE + (differ // 24 if 19 * (self.den - self.num) <= self.den + self.num else differ // 2)
+
+
+RULE = Rule()
+_levels: dict[Rule, list[tuple[int, int]]] = {}
+
+
+def levels(n: int, rule: Rule = RULE) -> list[tuple[int, int, int]]:
+    """(level, segments, spare segments) in which a set of n shingles takes part: that of its size, and those in which a larger linked set may be.
+
+    Spare: segments on which the set agrees, beyond one, with every set linked with it in that level.
+    """
+    known = _levels.setdefault(rule, [])
+    while not known or known[-1][0] < 3 * n * rule.den // rule.num:
+        size = max(known[-1][0] + 1, int(known[-1][0] * LEVEL)) if known else rule.first
+        differ = rule.differ(2 * size)
+        known.append((size, differ + 1 + (rule.spare(differ) if differ else 0)))
+    out = []
+    for i, (size, m) in enumerate(known):
+        if n <= size:
+            if m > 1:
+                out.append((i, m, m - 1 - rule.differ(n + min(size, n * rule.den // rule.num))))
+            if rule.den * n <= rule.num * size:
+                break
+    return out
+
+
+def segment_keys(shingles: np.ndarray, rule: Rule = RULE) -> np.ndarray:
     """The keys that a linked set of another id shares at least one of."""
     out = []
     scrambled = base.mix(shingles + B)
     sums = np.concatenate([[np.uint64(0)], np.cumsum(scrambled, dtype=np.uint64)])
-    for level, m, spare in levels(len(shingles)):
+    for level, m, spare in levels(len(shingles), rule):
         segment = (((shingles >> HIGH) * np.uint64(m)) >> HIGH).astype(np.int64)
         cuts = np.append(np.searchsorted(segment, np.arange(m)), len(shingles))
         place = base.mix(np.arange(m, dtype=np.uint64) + np.uint64(level * 1_000_003 + 1))
@@ -170,13 +203,13 @@ def _slices(b: pa.RecordBatch) -> Iterator[tuple[list[int], list[bytes]]]:
         yield ids, texts
 
 
-def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _emit(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
     """DOC rows (id, set id, shingles), and of each new set its KEY rows; keys that repeat in a slice meet here and leave once, with EDGE rows."""
     seen: set[int] = set()
     for b in batches:
         for ids, texts in _slices(b):
             docs, of, sizes, keys, owners = [], [], [], [], []
-            for doc, s in zip(ids, shingle_sets(texts), strict=True):
+            for doc, s in zip(ids, shingle_sets(texts, rule.width), strict=True):
                 if not len(s):
                     continue
                 docs.append(doc)
@@ -186,7 +219,7 @@ def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     if len(seen) >= SEEN:
                         seen.clear()
                     seen.add(sid)
-                    keys.append(k := segment_keys(s))
+                    keys.append(k := segment_keys(s, rule))
                     owners.append(np.full(len(k), sid, np.int64))
             if not docs:
                 continue
@@ -229,8 +262,8 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class TokenGroups:
     """The token-group matrix of a neighbourhood, filled set by set in order of size."""
 
-    def __init__(self, sets: list[np.ndarray]):
-        self.sets = sets
+    def __init__(self, sets: list[np.ndarray], rule: Rule = RULE):
+        self.sets, self.rule = sets, rule
         typical = int(np.median([len(s) for s in sets]))
         self.bits = min(1 << 16, max(512, 1 << (8 * typical).bit_length()))
         self.words = self.bits // 64
@@ -256,7 +289,7 @@ class TokenGroups:
             row, lost = self.rows[q], n - len(bit)
             home = -1
             if self.members:
-                need = -(-NUM * n // DEN)
+                need = -(-self.rule.num * n // self.rule.den)
                 bound = np.bitwise_count(self.matrix[: len(self.members)] & row).sum(1, dtype=np.int64) + lost
                 for g in np.flatnonzero(bound >= need).tolist():
                     if self.root(self.members[g][0]) == self.root(q):
@@ -278,20 +311,21 @@ class TokenGroups:
         return out
 
     def _open(self, q: int, row: np.ndarray, lost: int, at: np.ndarray, size: np.ndarray) -> int:
-        """A member linked with q, or -1. Linked: (NUM + DEN) * shared >= NUM * (sum of sizes)."""
-        total = NUM * (size[at] + size[q])
+        """A member linked with q, or -1. Linked: (num + den) * shared >= num * (sum of sizes)."""
+        both = self.rule.num + self.rule.den
+        total = self.rule.num * (size[at] + size[q])
         bound = np.bitwise_count(self.rows[at] & row).sum(1, dtype=np.int64) + lost
         s = self.sets[q]
-        for i in np.flatnonzero((NUM + DEN) * np.minimum(bound, size[at]) >= total).tolist():
+        for i in np.flatnonzero(both * np.minimum(bound, size[at]) >= total).tolist():
             other = self.sets[at[i]]
             spot = np.searchsorted(other, s)
             shared = int((other[np.minimum(spot, len(other) - 1)] == s).sum())
-            if (NUM + DEN) * shared >= total[i]:
+            if both * shared >= total[i]:
                 return int(at[i])
         return -1
 
 
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _verify(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
     """Rows sorted by task (neighbourhood, i, j): links of each task's sets."""
     task, ids, texts = None, [], []
 
@@ -300,12 +334,12 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if len(ids) > 1:
             sets: dict[int, np.ndarray] = {}
             for at in range(0, len(texts), 256):
-                for i, s in zip(ids[at : at + 256], shingle_sets(texts[at : at + 256]), strict=True):
+                for i, s in zip(ids[at : at + 256], shingle_sets(texts[at : at + 256], rule.width), strict=True):
                     if len(s) and set_id(s) == i:
                         sets[i] = s
             names = list(sets)
             if len(names) > 1:
-                edges = np.array([(names[x], names[y]) for x, y in TokenGroups(list(sets.values())).links()], np.int64).reshape(-1, 2)
+                edges = np.array([(names[x], names[y]) for x, y in TokenGroups(list(sets.values()), rule).links()], np.int64).reshape(-1, 2)
         return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(edges[:, 0])), pa.array(np.ascontiguousarray(edges[:, 1]))], ["a", "b"])
 
     for b in batches:
@@ -320,11 +354,11 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield r
 
 
-def link_documents(documents: DataFrame, blocks: tuple[int, int] = BLOCKS) -> DataFrame:
-    """doc_id, n_shingles and component_id: the smallest doc_id reachable by links. blocks: the least and the greatest size of a block."""
+def link_documents(documents: DataFrame, blocks: tuple[int, int] = BLOCKS, rule: Rule = RULE) -> DataFrame:
+    """doc_id, n_shingles and component_id: the smallest doc_id reachable by links. blocks: the least and the greatest size of a block; rule: shingle width and similarity."""
     d = base.texts_of(documents, "doc_id", "text")
     whole = d.where("doc_id is not null and text is not null")
-    met = base.map_batches(base.map_batches(whole, _emit, ROWS).repartition("key").sortWithinPartitions("kind", "key", "a"), _meet, ROWS)
+    met = base.map_batches(base.map_batches(whole, partial(_emit, rule=rule), ROWS).repartition("key").sortWithinPartitions("kind", "key", "a"), _meet, ROWS)
     met = base.cut(met)
     docs = met.where(f"kind = {DOC}").select(F.col("a").alias("doc_id"), F.col("b").alias("sid"), F.col("n").alias("n_shingles"))
     reps = base.cut(docs.groupBy("sid").agg(F.min("doc_id").alias("rep")))
@@ -339,7 +373,7 @@ def link_documents(documents: DataFrame, blocks: tuple[int, int] = BLOCKS) -> Da
     )
     members = near.join(reps, "sid").select(F.col("rep").alias("doc_id"), "sid", "near", F.explode(pairs).alias("p")).select("doc_id", "sid", "near", "p.i", "p.j")
     texts = whole.join(members, "doc_id").select("near", "i", "j", "sid", "text")
-    links = base.map_batches(texts.repartition("near", "i", "j").sortWithinPartitions("near", "i", "j"), _verify, "a long, b long")
+    links = base.map_batches(texts.repartition("near", "i", "j").sortWithinPartitions("near", "i", "j"), partial(_verify, rule=rule), "a long, b long")
     classes = components(links).select(F.col("node").alias("sid"), "component")
     named = reps.join(classes, "sid", "left").select("sid", "rep", F.coalesce("component", "sid").alias("component"))
     least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
@@ -349,7 +383,7 @@ def link_documents(documents: DataFrame, blocks: tuple[int, int] = BLOCKS) -> Da
     return ids.select("doc_id", F.coalesce("n_shingles", F.lit(0)).cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def keep_one(documents: DataFrame) -> DataFrame:
+def keep_one(documents: DataFrame, rule: Rule = RULE) -> DataFrame:
     """The documents, with all their columns, that have the smallest id of their component; those with a null id stay."""
-    gone = link_documents(documents).where("component_id <> doc_id").select(F.col("doc_id").alias("__gone")).distinct()
+    gone = link_documents(documents, rule=rule).where("component_id <> doc_id").select(F.col("doc_id").alias("__gone")).distinct()
     return documents.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")

@@ -7,6 +7,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from kindred.llm import graph, similar
 from kindred.llm.graph import components
 from tests.llm.conftest import prose
@@ -72,6 +73,46 @@ def test_links_equal_brute_force(make, corpus):
     assert kept == {i for i, (_, c) in want.items() if i == c} | {None}
 
 
+def test_stage_links_five_words_at_four_fifths(spark, make):
+    rng = random.Random(12)
+    rows = [(i, prose(rng, rng.randint(1, 120)).replace("\n", ""), "en", "s") for i in range(40)]
+    for k, (n, words, edits) in enumerate([(20, 100, 5), (20, 40, 2), (15, 14, 1), (10, 9, 1), (10, 400, 20)]):
+        rows += family(rng, 1000 + 100 * k, n, words, edits)
+    words = [f"w{i}" for i in range(100)]
+    apart = [*words]
+    apart[20], apart[70] = "x", "y"
+    rows += [(5000, " ".join(words), "en", "s"), (5001, " ".join(apart), "en", "s")]  # 0.81 in five words, 0.885 in three
+    sets = {i: {tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))} for i, t, _, _ in rows if (w := t.translate(LOWER).split())}
+    top = {i: i for i in sets}
+    for _ in range(len(sets)):
+        old = dict(top)
+        for a in sets:
+            for b in sets:
+                if 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b]):
+                    top[a] = min(top[a], top[b])
+        if top == old:
+            break
+    kept = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, make(rows), "").collect()}
+    assert kept == {i for i in top if top[i] == i} and 5001 not in kept
+
+
+@pytest.mark.parametrize("rule", [similar.Rule(5, 8, 10), similar.Rule(3, 9, 10)])
+def test_linked_sets_share_a_key_of_the_rule(rule):
+    rng = np.random.default_rng(1)
+    tried = 0
+    for n in [*range(4, 60), 100, 300, 900]:
+        for _ in range(20):
+            pool = rng.integers(0, 2**64, 2 * n + 3, dtype=np.uint64)
+            d = int(rng.integers(1, n // 4 + 2))
+            r = int(rng.integers(0, d + 1))
+            x, y = np.unique(pool[:n]), np.unique(np.concatenate([pool[r:n], pool[n : n + d - r]]))
+            shared = len(np.intersect1d(x, y))
+            if rule.den * shared >= rule.num * (len(x) + len(y) - shared):
+                tried += 1
+                assert len(np.intersect1d(similar.segment_keys(x, rule), similar.segment_keys(y, rule))), (n, d, r)
+    assert tried > 200
+
+
 def test_empty_and_single(make):
     assert similar.link_documents(make([])).count() == 0
     assert [tuple(r) for r in similar.link_documents(make([(5, "a b", "en", "s"), (4, "A  b", "en", "s")])).orderBy("doc_id").collect()] == [(4, 1, 4), (5, 1, 4)]
