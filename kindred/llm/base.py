@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import contextlib
 import ctypes
+import hashlib
 import os
 import sys
 import tempfile
@@ -56,7 +57,7 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], sch
 def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     """mapInArrow with bounded batches."""
     ship(df.sparkSession)
-    conf = df.sparkSession.conf
+    conf = df.sparkSession.conf  # read when the plan runs, so the two settings have to stay
     conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
@@ -76,10 +77,6 @@ def release() -> None:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-_bytes = np.random.default_rng(17).integers(1, 2**63, 256, np.uint64)
-
-
 def mix(h: np.ndarray) -> np.ndarray:
     """Scrambles 64-bit integers, one to one."""
     h = h ^ (h >> np.uint64(32))
@@ -89,17 +86,26 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of data[start:end]: differences of prefix sums of byte values times powers of an odd base, mod 2**64. The same in every process."""
-    if len(_powers[0]) < len(data) + 1:
-        for k, odd in enumerate((0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 2**64))):
-            p = np.full(len(data) + 1, odd, np.uint64)
-            p[0] = 1
-            _powers[k] = np.cumprod(p)
-    up, down = _powers
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_bytes[data] * up[: len(data)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+class Digests(dict):
+    """64-bit BLAKE2b digests of byte strings, remembered within bounds. The same in every process, and without the collisions of sums or products on structured texts."""
+
+    MOST, MOST_BYTES = 300_000, 16 << 20
+
+    def __init__(self):
+        super().__init__()
+        self.size = 0
+
+    def __missing__(self, key: bytes) -> int:
+        h = int.from_bytes(hashlib.blake2b(key, digest_size=8).digest(), "little")
+        if len(self) >= self.MOST or self.size >= self.MOST_BYTES:
+            self.clear()
+            self.size = 0
+        self.size += len(key)
+        self[key] = h
+        return h
+
+    def of(self, keys: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, keys), np.uint64, len(keys))
 
 
 _shipped: set[str] = set()
@@ -125,12 +131,16 @@ def ship(spark: SparkSession) -> None:
 
 
 _own: list[str] = []
+_folders: set[str] = set()
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share. A machine-local one only where none is set (tests)."""
+    """The folder that the driver and all executors share: spark.checkpoint.dir. Where it is unset, a folder of this machine, but only if the executors are threads of this process (tests)."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        master = spark.sparkContext.master
+        if master.partition("[")[0] != "local":
+            raise ValueError(f"spark.checkpoint.dir must name a folder that the driver and all executors share (master: {master})")
         if not _own:
             holder = tempfile.TemporaryDirectory(prefix="kindred-")
             atexit.register(holder.cleanup)
@@ -139,9 +149,32 @@ def scratch_dir(spark: SparkSession) -> str:
     return shared.rstrip("/")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Writes df as a table in the shared folder and reads it back: lineage ends here, and a lost executor loses nothing."""
+def cut(df: DataFrame, by: str | None = None) -> DataFrame:
+    """Writes df as a table in the shared folder and reads it back: lineage ends here, and a lost executor loses nothing. by: a column to write one folder of files for each value of.
+
+    All tables of a process lie in one folder, which clean() removes; at the latest it goes when the process ends.
+    """
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/kindred/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    folder = f"{scratch_dir(spark)}/kindred/{spark.sparkContext.applicationId}-{os.getpid()}"
+    if folder not in _folders:
+        _folders.add(folder)
+        atexit.register(_remove, folder)
+    path = f"{folder}/{uuid.uuid4().hex}"
+    writer = df.write.partitionBy(by) if by else df.write
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _remove(folder: str) -> None:
+    from pyspark import SparkContext
+
+    with contextlib.suppress(Exception):  # the JVM may have ended before
+        path = (jvm := SparkContext._gateway.jvm).org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(path, True)
+    _folders.discard(folder)
+
+
+def clean() -> None:
+    """Removes the tables that this process has cut. DataFrames that read them can't be used after that."""
+    for folder in list(_folders):
+        _remove(folder)

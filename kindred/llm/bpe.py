@@ -7,7 +7,7 @@ Short pre-tokens are encoded many at a time: one numpy array holds the trees of
 
 Texts are cut into chunks before each space; a chunk pre-tokenises independently of its neighbours
 except where a run of white space crosses chunks, and such texts are matched as a whole. Each distinct
-chunk of a slice of texts is looked up by a 64-bit hash in a cache of each worker, up to CACHE entries.
+chunk of a slice of texts is looked up by its characters in a cache of each worker, up to CACHE entries.
 
 Defined results: null and empty texts encode to no ids and decode to the empty text. Strings of
 special tokens become those tokens. Decoding joins token bytes; invalid UTF-8 becomes U+FFFD.
@@ -101,8 +101,8 @@ class Tokenizer:
         self._forget()
 
     def _forget(self) -> None:
-        """Empties the cache: slot of each chunk's hash, and by slot the chunk's ids in one array."""
-        self.slots: dict[int, int] = {}
+        """Empties the cache: slot of each chunk, and by slot the chunk's ids in one array. Chunks are written without the space they start with; a first chunk, which has none, is a tuple."""
+        self.slots: dict[str | tuple[str], int] = {}
         self.store, self.starts, self.sizes = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
         self.stored = 0
 
@@ -235,8 +235,8 @@ class Tokenizer:
         ids = dict(zip(distinct, self.merge_many([t.encode() for t in distinct]), strict=True))
         return [ids[p[0]] if len(p) == 1 else list(chain.from_iterable(map(ids.__getitem__, p))) for p in parts]
 
-    def _remember(self, hashes: list[int], chunks: list[str]) -> None:
-        n, ids = len(self.slots), self._pieces(chunks)
+    def _remember(self, chunks: list[str | tuple[str]]) -> None:
+        n, ids = len(self.slots), self._pieces([c[0] if isinstance(c, tuple) else " " + c for c in chunks])
         flat = np.fromiter(chain.from_iterable(ids), np.int32)
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         while len(self.store) < self.stored + len(flat):
@@ -247,7 +247,7 @@ class Tokenizer:
         self.sizes[n : n + len(ids)] = sizes
         self.starts[n : n + len(ids)] = self.stored + np.cumsum(sizes) - sizes
         self.stored += len(flat)
-        self.slots.update(zip(hashes, range(n, n + len(ids)), strict=True))
+        self.slots.update(zip(chunks, range(n, n + len(ids)), strict=True))
 
     def _whole(self, text: str) -> np.ndarray:
         """A text with special tokens, or with white space that crosses chunks."""
@@ -265,36 +265,30 @@ class Tokenizer:
     def encode_many(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text. Chunks start at spaces; each distinct chunk is encoded once, and ids are gathered by chunk."""
         out: list[np.ndarray] = [np.zeros(0, np.int32)] * len(texts)
-        plain, raw = [], []
+        plain, chunks, ends = [], [], []
         for i, text in enumerate(texts):
             if CROSSING.search(text) or self.split and any(s in text for s in self.special):
                 out[i] = self._whole(text)
             elif text:
                 plain.append(i)
-                raw.append(text.encode())
-        if not raw:
+                head, *rest = text.split(" ")
+                chunks.append((head,))
+                chunks += rest
+                ends.append(len(chunks))
+        if not chunks:
             return out
-        data = np.frombuffer(joined := b"".join(raw), np.uint8)
-        ends = np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)))
-        heads = ends - np.fromiter(map(len, raw), np.int64, len(raw))
-        mark = data == 32
-        mark[heads] = True
-        cuts = np.append(np.flatnonzero(mark), len(data))
-        h = base.span_hashes(data, cuts[:-1], cuts[1:])
-        distinct, at, of = np.unique(h, return_index=True, return_inverse=True)
-        names = distinct.tolist()
-        if len(self.slots) + len(names) > CACHE:
+        distinct = set(chunks)
+        fresh = [c for c in distinct if c not in self.slots]
+        if len(self.slots) + len(fresh) > CACHE:
             self._forget()
-        known = self.slots.get
-        fresh = [j for j, x in enumerate(names) if known(x) is None]
+            fresh = list(distinct)
         if fresh:
-            a, b = cuts[at[fresh]].tolist(), cuts[at[fresh] + 1].tolist()
-            self._remember([names[j] for j in fresh], [joined[x:y].decode() for x, y in zip(a, b, strict=True)])
-        slot = np.fromiter(map(self.slots.__getitem__, names), np.int64, len(names))[of]
+            self._remember(fresh)
+        slot = np.fromiter(map(self.slots.__getitem__, chunks), np.int64, len(chunks))
         size = self.sizes[slot]
         till = np.cumsum(size)
         ids = self.store[np.repeat(self.starts[slot] - till + size, size) + np.arange(till[-1])]
-        last = till[np.searchsorted(cuts, ends) - 1].tolist()
+        last = till[np.array(ends) - 1].tolist()
         for i, x, y in zip(plain, [0, *last[:-1]], last, strict=True):
             out[i] = ids[x:y]
         return out

@@ -25,9 +25,11 @@ rows of one id and text give equal rows; rows of one id with different texts tak
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -66,47 +68,32 @@ select distinct documents.doc_id, coalesce(n.n, 0)::bigint n_shingles, coalesce(
 from documents left join n on n.doc_id = documents.doc_id left join r on r.doc_id = documents.doc_id left join m on m.node = r.rep
 """
 
-SPACE = np.zeros(256, bool)
-SPACE[[9, 10, 11, 12, 13, 32]] = True
 A, B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 HIGH = np.uint64(32)
+_digests = base.Digests()
 
 
 def shingle_sets(texts: list[bytes], k: int = SHINGLE) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text, A-Z lower-cased."""
-    data = np.frombuffer(b" ".join([*texts, b""]).lower(), np.uint8)
-    if not len(data):
-        return [np.zeros(0, np.uint64) for _ in texts]
-    word = np.flatnonzero(np.diff((~SPACE[data]).astype(np.int8), prepend=0, append=0))
-    starts, ends = word[::2], word[1::2]
-    h = base.span_hashes(data, starts, ends)
-    heads = np.cumsum([0, *[len(t) + 1 for t in texts]])
-    cuts = np.searchsorted(starts, heads)
+    words = [t.lower().split() for t in texts]
+    h = _digests.of(list(chain.from_iterable(words)))
+    cuts = np.cumsum([0, *map(len, words)]).tolist()
+    n = max(0, len(h) - k + 1)
+    s = h[:n].copy()
+    for j in range(1, k):
+        s = base.mix(s * A + h[j : n + j] + np.uint64(j))
     out = []
-    n = len(h) - k + 1
-    if n > 0:
-        s = h[:n].copy()
-        for j in range(1, k):
-            s = base.mix(s * A + h[j : n + j] + np.uint64(j))
-    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+    for w, a, b in zip(words, cuts, cuts[1:], strict=False):
         if b - a >= k:
             out.append(np.unique(s[a : b - k + 1]))
-        elif b > a:
-            x = np.uint64(b - a)
-            with np.errstate(over="ignore"):
-                for j in range(a, b):
-                    x = base.mix(np.array([x * B + h[j]]))[0]
-            out.append(np.array([x], np.uint64))
         else:
-            out.append(np.zeros(0, np.uint64))
+            out.append(np.array([int.from_bytes(hashlib.blake2b(b" ".join(w), digest_size=8, person=b"short").digest(), "little")] if w else [], np.uint64))
     return out
 
 
 def set_id(shingles: np.ndarray) -> int:
-    """A signed 64-bit id of a non-empty set."""
-    with np.errstate(over="ignore"):
-        x = base.mix(shingles + A).sum(dtype=np.uint64) + np.uint64(len(shingles)) * B
-    return int(base.mix(np.array([x], np.uint64)).view(np.int64)[0])
+    """A signed 64-bit digest of a non-empty set."""
+    return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
 @dataclass(frozen=True)

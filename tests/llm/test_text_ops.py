@@ -43,6 +43,30 @@ def test_bpe_equals_the_library(make, corpus):
         assert want in {(r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in got[i]}, text[:40] if text else text
 
 
+def thue_morse():
+    s, t = "a", "b"
+    for _ in range(11):
+        s, t = s + t, t + s
+    return s, t
+
+
+def test_bpe_tells_structured_texts_apart():
+    """Two texts whose prefix sums with powers of any odd base agree modulo 2**64."""
+    tokenizers = pytest.importorskip("tokenizers")
+    t = tokenizers.Tokenizer.from_file(bpe.default_path())
+    texts = list(thue_morse())
+    own = bpe.load(bpe._spec(None))
+    for run in (texts, texts[::-1], [f"x {a} {b}" for a, b in (texts, texts[::-1])]):
+        assert [x.tolist() for x in own.encode_many(run)] == [t.encode(x, add_special_tokens=False).ids for x in run]
+
+
+def test_bpe_cache_is_emptied_without_harm(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE", 4)
+    own = bpe.Tokenizer(__import__("json").loads(bpe._spec(None)))
+    for text in ("one two three four five six", "seven one two", " one one  two", "six six six seven"):
+        assert own.decode(own.encode_many([text])[0].tolist()) == text
+
+
 def test_bpe_round_trip_and_types(make, corpus):
     d = make(corpus)
     texts = by_id(bpe.decode(bpe.encode(d)))
