@@ -1,102 +1,134 @@
 """Substring deduplication by hashing lines.
 
-Every line of at least MIN_WORDS words is normalised (A-Z lower-cased, white space runs to one space,
-trimmed) and hashed to 128 bits. Digests are grouped over all documents, pre-aggregated before the
-shuffle to the earliest occurrence (by doc_id, then line); every other occurrence is removed. Only
-digests, ids and offsets take part in that; the texts are joined once, with one list a document.
+Every line with a word is normalised (A-Z lower-cased, white space runs to one space, trimmed) and hashed
+to 128 bits. Digests are grouped over all documents; the earliest occurrence (by doc_id, then line) of each
+stays, every other one is removed. A line that has come earlier within the same task is decided there and then;
+only the earliest of each task take part in the grouping, so a line that stands in a third of all rows
+sends a row a task, not one an occurrence. Only digests, ids and offsets take part in that; the texts are
+joined once, with one list a document.
 
 Defined results: lines are split at line feeds; offsets are code points of the original text, end
-exclusive, without the line feed. A null text has no lines and stays null. Lines of fewer words, and
-all lines of documents with a null id, stay. Repeated rows of one id and text are one document: the
-lines that are the first of their digest stay in each.
+exclusive, without the line feed. A null text has no lines and stays null. Lines without a word, lines of
+fewer words than min_words (an argument, 1 in the query), and all lines of documents with a null id, stay.
+Repeated rows of one id and text are one document: the lines that are the first of their digest stay in each.
+Texts of any length are handled line by line; empty tables give empty results.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import base
 
-#: Shorter lines repeat by chance and say little.
-MIN_WORDS = 20
+#: Digests that a task remembers, and rows that leave it at once.
+SEEN, ROWS = 200_000, 20_000
 
 #: The query in DuckDB.
-SQL = f"""
+SQL = r"""
 with d as (select distinct doc_id, text from documents where doc_id is not null and text is not null),
 s as (select doc_id, text, string_split(text, chr(10)) ls from d),
 l as (select doc_id, text, unnest(ls) line, generate_subscripts(ls, 1) - 1 pos from s),
-n as (select *, trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+', ' ', 'g')) norm,
+n as (select *, trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g')) norm,
   coalesce(sum(length(line) + 1) over (partition by doc_id, text order by pos rows between unbounded preceding and 1 preceding), 0) start from l),
-u as (select *, len(string_split(norm, ' ')) >= {MIN_WORDS} as long from n),
-r as (select *, long and (doc_id, pos) <> min((doc_id, pos)) over (partition by norm, long) as gone from u),
-g as (select doc_id, text, count(*) filter (where long) n_units, count(*) filter (where gone) n_removed, coalesce(sum(length(line)) filter (where gone), 0) n_removed_chars,
+r as (select *, norm <> '' as unit, norm <> '' and (doc_id, pos) <> min((doc_id, pos)) over (partition by norm) as gone from n),
+g as (select doc_id, text, count(*) filter (where unit) n_units, count(*) filter (where gone) n_removed, coalesce(sum(length(line)) filter (where gone), 0) n_removed_chars,
   coalesce(string_agg(start::bigint || ':' || (start + length(line))::bigint, ',' order by pos) filter (where gone), '') spans, coalesce(string_agg(line, chr(10) order by pos) filter (where not gone), '') kept from r group by doc_id, text)
 select x.doc_id, coalesce(g.n_units, 0)::bigint n_units, coalesce(g.n_removed, 0)::bigint n_removed, coalesce(g.n_removed_chars, 0)::bigint n_removed_chars, coalesce(g.spans, '') spans, g.kept as text
 from documents x left join g on x.doc_id = g.doc_id and x.text = g.text
 """
 
 
-def long_lines(text: str, min_words: int) -> list[tuple[int, int, int, bytes]]:
-    """(line, start, stop, normalised words joined) of the lines that are long enough."""
-    out, at = [], 0
+def lines(text: str, min_words: int) -> Iterator[tuple[int, int, int, bytes]]:
+    """(line, start, stop, normalised words joined) of the lines of min_words words or more."""
+    at = 0
     for i, line in enumerate(text.split("\n")):
         words = line.encode().lower().split()
         if len(words) >= min_words:
-            out.append((i, at, at + len(line), b" ".join(words)))
+            yield i, at, at + len(line), b" ".join(words)
         at += len(line) + 1
-    return out
 
 
-def units(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """doc_id, of (hash of the whole text), line, start, stop, d1, d2 (the digest) of every long line."""
-    names = ["doc_id", "of", "line", "start", "stop", "d1", "d2"]
-
-    def fn(b: pa.RecordBatch) -> pa.RecordBatch:
-        rows = []
-        for doc, of, text in zip(b["doc_id"].to_pylist(), b["of"].to_pylist(), b["text"].to_pylist(), strict=True):
-            for i, start, stop, words in long_lines(text, min_words):
-                h = hashlib.blake2b(words, digest_size=16).digest()
-                rows.append((doc, of, i, start, stop, int.from_bytes(h[:8], "little", signed=True), int.from_bytes(h[8:], "little", signed=True)))
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*rows, strict=True) if rows else [[]] * len(names))], names)
+UNITS = ("doc_id", "of", "line", "start", "stop", "d1", "d2")
+
+
+def units(documents: DataFrame, min_words: int = 1) -> DataFrame:
+    """doc_id, of (hash of the whole text), line, start, stop, and the digest d1, d2: of the lines that are the earliest of their digest so far in their task. Of the others, which can't be the earliest of all, d1 and d2 are null."""
+    schema = pa.schema([(c, pa.int64()) for c in UNITS])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[bytes, tuple[int, int, int]] = {}
+        found = np.zeros((ROWS, 5), np.int64)
+        digests = np.zeros((ROWS, 2), np.int64)
+        later = np.zeros(ROWS, bool)
+
+        def rows(n: int) -> pa.RecordBatch:
+            columns = [pa.array(found[:n, k].copy()) for k in range(5)] + [pa.array(digests[:n, k].copy(), mask=later[:n].copy()) for k in range(2)]
+            return pa.RecordBatch.from_arrays(columns, schema=schema)
+
+        n = 0
+        for b in batches:
+            for doc, of, text in zip(b["doc_id"].to_pylist(), b["of"].to_pylist(), b["text"], strict=True):
+                for i, start, stop, words in lines(text.as_py(), min_words):
+                    h = hashlib.blake2b(words, digest_size=16).digest()
+                    first, here = seen.get(h), (doc, i, of)
+                    if first == here:
+                        continue  # a repeated row
+                    later[n] = first is not None and first[:2] < (doc, i)
+                    found[n] = doc, of, i, start, stop
+                    if not later[n]:
+                        if len(seen) >= SEEN:
+                            seen.clear()
+                        seen[h] = here
+                        digests[n] = int.from_bytes(h[:8], "little", signed=True), int.from_bytes(h[8:], "little", signed=True)
+                    n += 1
+                    if n == ROWS:
+                        yield rows(n)
+                        n = 0
+            base.release()
+        if n:
+            yield rows(n)
 
     d = base.texts_of(documents, "doc_id", "text").where("doc_id is not null and text is not null")
-    return base.map_arrow(d.select("doc_id", F.xxhash64("text").alias("of"), "text"), fn, ", ".join(f"{c} long" for c in names))
+    return base.map_batches(d.select("doc_id", F.xxhash64("text").alias("of"), "text"), run, ", ".join(f"{c} long" for c in UNITS))
 
 
 def repeats(found: DataFrame) -> DataFrame:
-    """doc_id, of and spans: the lines that are not the earliest of their digest."""
-    first = found.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.max(F.struct("doc_id", "line")).alias("last")).where("first <> last").drop("last")
-    later = found.join(first, ["d1", "d2"]).where(F.struct("doc_id", "line") != F.col("first"))
-    return later.groupBy("doc_id", "of").agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("spans"))
+    """doc_id, of and spans: the lines that are not the earliest of their digest. A digest has at most a few rows a task of units()."""
+    nth = F.rank().over(Window.partitionBy("d1", "d2").orderBy("doc_id", "line"))
+    later = found.where("d1 is not null").withColumn("nth", nth).where("nth > 1").select("doc_id", "of", "start", "stop")
+    gone = later.unionByName(found.where("d1 is null").select("doc_id", "of", "start", "stop"))
+    return gone.groupBy("doc_id", "of").agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("spans"))
 
 
-def remove_repeats(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def remove_repeats(documents: DataFrame, min_words: int = 1) -> DataFrame:
     """doc_id, text without the repeated lines, spans removed (original offsets), n_units, n_removed, n_removed_chars."""
     gone = repeats(base.cut(units(documents, min_words)))
     d = base.texts_of(documents, "doc_id", "text").withColumn("of", F.xxhash64("text"))
     joined = d.join(gone, ["doc_id", "of"], "left").select("doc_id", "text", "spans")
     span = "array<struct<start: bigint, stop: bigint>>"
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
+
+    def one(text: str | None, s: list[dict]) -> tuple[str | None, int, int]:
+        if text is None:
+            return None, 0, 0
+        drop, kept, n, at = {x["start"] for x in s}, [], 0, 0
+        for line in text.split("\n"):
+            n += len(line.encode().split()) >= min_words
+            if at not in drop or not line:
+                kept.append(line)
+            at += len(line) + 1
+        return "\n".join(kept) if drop else text, n, sum(x["stop"] - x["start"] for x in s)
 
     def fn(b: pa.RecordBatch) -> pa.RecordBatch:
-        kept, n_units, chars = [], [], []
-        spans = b["spans"].to_pylist()
-        for i, (text, s) in enumerate(zip(b["text"].to_pylist(), spans, strict=True)):
-            spans[i] = s = s or []
-            n_units.append(len(long_lines(text, min_words)) if text else 0)
-            chars.append(sum(x["stop"] - x["start"] for x in s))
-            if s:
-                drop, lines, at = {x["start"] for x in s}, [], 0
-                for line in text.split("\n"):
-                    if at not in drop or not line:
-                        lines.append(line)
-                    at += len(line) + 1
-                text = "\n".join(lines)
-            kept.append(text)
-        columns = [b["doc_id"], pa.array(kept, pa.string()), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))), *[pa.array(x, pa.int64()) for x in (n_units, map(len, spans), chars)]]
+        spans = [s or [] for s in b["spans"].to_pylist()]
+        kept, n_units, chars = zip(*(one(t.as_py(), s) for t, s in zip(b["text"], spans, strict=True)), strict=True)
+        columns = [b["doc_id"], pa.array(kept, pa.string()), pa.array(spans, kind), *[pa.array(x, pa.int64()) for x in (n_units, map(len, spans), chars)]]
         return pa.RecordBatch.from_arrays(columns, ["doc_id", "text", "spans", "n_units", "n_removed", "n_removed_chars"])
 
     return base.map_arrow(joined, fn, f"doc_id long, text string, spans {span}, n_units long, n_removed long, n_removed_chars long")

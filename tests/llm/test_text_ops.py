@@ -207,9 +207,11 @@ def test_quantile_sketches_merge_and_are_close(spark):
 # op6
 
 
-def test_substrings_equal_brute_force(make, corpus):
+@pytest.mark.parametrize("seen", [substrings.SEEN, 3])
+def test_substrings_equal_brute_force(make, corpus, monkeypatch, seen):
+    monkeypatch.setattr(substrings, "SEEN", seen)  # few remembered digests only mean more rows
     line = " ".join(f"w{i}" for i in range(25))
-    docs = [*corpus, (880, f"intro\n{line}\nmore\n{line}", "en", "s"), (881, f"{line.upper()}  \nown words", "en", "s"), (882, line, "en", "s")]
+    docs = [*corpus, *((i, "a short hot line\n\nown %d" % i, "en", "s") for i in range(890, 899)), (880, f"intro\n{line}\nmore\n{line}", "en", "s"), (881, f"{line.upper()}  \nown words", "en", "s"), (882, line, "en", "s")]
     got = by_id(substrings.digest(make(docs)))
     first = {}
     units = {}
@@ -217,7 +219,7 @@ def test_substrings_equal_brute_force(make, corpus):
         at = 0
         for pos, x in enumerate(t.split("\n")):
             norm = " ".join(re.findall(r"[^\x20\x09-\x0D]+", x.translate(LOWER)))
-            if len(norm.split(" ")) >= substrings.MIN_WORDS:
+            if norm:
                 first.setdefault(norm, (i, pos))
                 units.setdefault((i, t), []).append((pos, at, at + len(x), norm))
             at += len(x) + 1
