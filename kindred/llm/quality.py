@@ -3,14 +3,18 @@
 measure() counts each text. sketch() summarises each ratio by language and source as counts over
 logarithmic buckets of relative width RELATIVE: such sketches merge by adding counts, so they are
 pre-aggregated before the shuffle, and the sketches of a language or of all rows are merged from them.
-limits() reads quantiles from the sketches; judge() joins them to the counts and filters.
+Texts that fail the base rules stay out of the sketches. limits() reads quantiles from the sketches;
+judge() joins them to the counts and filters.
 
-A limit is the upper quartile plus FENCE interquartile ranges, and never tighter than SLACK beyond the
-median, so a homogeneous group loses nothing. A group of fewer than MIN_GROUP rows uses its language's
-sketch, and that of all rows if the language has too few.
+The limit of a ratio is its upper quantile plus a multiple of the distance to its lower one (see RULES); no
+limit holds a fixed value. Quantiles of a language are averaged with those of all rows, and quantiles of a source
+within it with those of the language, by their numbers of rows against PRIOR; so small groups lean on
+larger ones without a switch. A text over a limit is dropped if the ratio rests on EVIDENCE occurrences or more:
+one sign in a source that has none yet says nothing.
 
 Defined results: a null text has no words and counts of 0, and fails the base rule. Null languages and
-sources form groups of their own. Repeated rows are judged each for itself.
+sources form groups of their own. A group in which every text fails the base rules has no limits. Texts of any
+length are counted whole; a slice of texts is held at once, a longer text alone. Repeated rows are judged each for itself.
 """
 
 from __future__ import annotations
@@ -32,10 +36,13 @@ REPEAT_WINDOW = 5
 
 RELATIVE = 0.02
 GAMMA = (1 + RELATIVE) / (1 - RELATIVE)
-MIN_GROUP = 200
-FENCE = 6.0
-#: Ratios that are limited from above, and from below; the least distance of a limit from the median.
-SLACK = {"symbols": 0.3, "repeats": 0.2, "dup_lines": 0.5, "long_words": 4.0}
+PRIOR = 200
+EVIDENCE = 3
+#: By ratio: lower and upper quantile, and how many of their distances the limit lies beyond the upper one. Rare events
+#: need a high quantile, word lengths have a spread of their own.
+RULES = {"symbols": (0.5, 0.9, 2.0), "repeats": (0.5, 0.99, 0.5), "dup_lines": (0.5, 0.99, 0.5), "long_words": (0.25, 0.75, 5.0)}
+#: What a ratio counts.
+COUNTED = {"symbols": "n_symbols", "repeats": "n_repeat_words", "dup_lines": "n_dup_lines", "long_words": "n_words"}
 
 
 def repeat_words(texts: list[list[bytes]], window: int = REPEAT_WINDOW) -> np.ndarray:
@@ -100,48 +107,57 @@ def ratios() -> dict[str, Column]:
     }
 
 
+def base_failed() -> Column:
+    return (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+
+
 def sketch(measured: DataFrame) -> DataFrame:
     """(lang, source, ratio, bucket, n): bucket is null for 0, else ceil(log_GAMMA(ratio))."""
     each = F.explode(F.array(*[F.struct(F.lit(k).alias("ratio"), v.alias("v")) for k, v in ratios().items()])).alias("x")
     bucket = F.when(F.col("x.v") > 0, F.ceil(F.log("x.v") / float(np.log(GAMMA))).cast("int"))
-    return measured.where("n_words > 0").select("lang", "source", each).groupBy("lang", "source", F.col("x.ratio").alias("ratio"), bucket.alias("bucket")).agg(F.count("*").alias("n"))
+    return measured.where(~base_failed()).select("lang", "source", each).groupBy("lang", "source", F.col("x.ratio").alias("ratio"), bucket.alias("bucket")).agg(F.count("*").alias("n"))
 
 
-def _quantiles(sketches: DataFrame, *by: str) -> DataFrame:
-    """Merges the sketches by the named columns and reads the quartiles."""
+def quantiles(sketches: DataFrame, *by: str) -> DataFrame:
+    """Merges the sketches by the named columns: of each ratio its rows and the two quantiles of its rule."""
     merged = sketches.groupBy(*by, "ratio", "bucket").agg(F.sum("n").alias("n"))
     group = Window.partitionBy(*by, "ratio")
     below = F.sum("n").over(group.orderBy(F.col("bucket").asc_nulls_first()))
-    merged = merged.select(*by, "ratio", "bucket", below.alias("below"), F.sum("n").over(group).alias("total"))
+    merged = merged.select(*by, "ratio", "bucket", below.alias("below"), F.sum("n").over(group).alias("rows"))
     value = F.when(F.col("bucket").isNull(), F.lit(0.0)).otherwise(2 * F.pow(F.lit(GAMMA), F.col("bucket")) / (GAMMA + 1))
-    at = [F.min(F.when(F.col("below") >= q * F.col("total"), value)).alias(f"q{int(100 * q)}") for q in (0.25, 0.5, 0.75)]
-    return merged.groupBy(*by, "ratio").agg(F.max("total").alias("total"), *at)
+    level = lambda i: F.coalesce(*[F.when(F.col("ratio") == k, F.lit(r[i])) for k, r in RULES.items()])
+    at = [F.min(F.when(F.col("below") >= level(i) * F.col("rows"), value)).alias(k) for i, k in enumerate(("low", "high"))]
+    return merged.groupBy(*by, "ratio").agg(F.max("rows").alias("rows"), *at)
+
+
+def leaning(own: DataFrame, wider: DataFrame, *on: str) -> DataFrame:
+    """own quantiles averaged with those of the wider group, weighted by rows against PRIOR."""
+    o, w = own.alias("o"), wider.alias("w")
+    same = F.col("o.ratio") == F.col("w.ratio")
+    for c in on:
+        same = same & F.col(f"o.{c}").eqNullSafe(F.col(f"w.{c}"))
+    mean = lambda k: ((F.col("o.rows") * F.col(f"o.{k}") + PRIOR * F.col(f"w.{k}")) / (F.col("o.rows") + PRIOR)).alias(k)
+    return o.join(w, same).select(*[F.col(f"o.{c}") for c in own.columns if c not in ("low", "high")], mean("low"), mean("high"))
 
 
 def limits(sketches: DataFrame) -> DataFrame:
     """One row for each language and source, with an upper limit for each ratio."""
-    own = _quantiles(sketches, "lang", "source").select("lang", "source", "ratio", F.struct("total", "q25", "q50", "q75").alias("own"))
-    lang = _quantiles(sketches, "lang").select(F.col("lang").alias("of"), F.col("ratio").alias("r1"), F.struct("total", "q25", "q50", "q75").alias("mid"))
-    every = _quantiles(sketches).select(F.col("ratio").alias("r2"), F.struct("total", "q25", "q50", "q75").alias("top"))
-    joined = own.join(lang, F.col("lang").eqNullSafe(F.col("of")) & (F.col("ratio") == F.col("r1"))).join(every, F.col("ratio") == F.col("r2"))
-    q = F.when(F.col("own.total") >= MIN_GROUP, F.col("own")).when(F.col("mid.total") >= MIN_GROUP, F.col("mid")).otherwise(F.col("top"))
-    slack = F.coalesce(*[F.when(F.col("ratio") == k, F.lit(v)) for k, v in SLACK.items()])
-    limit = F.greatest(F.col("q.q75") + FENCE * (F.col("q.q75") - F.col("q.q25")), F.col("q.q50") + slack)
-    return joined.withColumn("q", q).select("lang", "source", "ratio", limit.alias("limit")).groupBy("lang", "source").agg(*[F.max(F.when(F.col("ratio") == k, F.col("limit"))).alias(f"max_{k}") for k in SLACK])
+    by_lang = leaning(quantiles(sketches, "lang"), quantiles(sketches))
+    q = leaning(quantiles(sketches, "lang", "source"), by_lang, "lang")
+    beyond = F.coalesce(*[F.when(F.col("ratio") == k, F.lit(r[2])) for k, r in RULES.items()])
+    q = q.select("lang", "source", "ratio", (F.col("high") + beyond * (F.col("high") - F.col("low"))).alias("limit"))
+    return q.groupBy("lang", "source").agg(*[F.max(F.when(F.col("ratio") == k, F.col("limit"))).alias(f"max_{k}") for k in RULES])
 
 
 def judge(measured: DataFrame, limit: DataFrame) -> DataFrame:
-    """measured with base_failed, the limits of its group and kept."""
-    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    within = F.lit(True)
-    for k, v in ratios().items():
-        within = within & F.coalesce(v <= F.col(f"max_{k}"), F.lit(True))
+    """measured with base_failed, the limits of its group, failed (the ratios over their limits, comma-joined) and kept."""
+    over = [F.when((v > F.col(f"max_{k}")) & (F.col(COUNTED[k]) >= EVIDENCE), F.lit(k)) for k, v in ratios().items()]
     by = limit.withColumnsRenamed({"lang": "of_lang", "source": "of_source"})
     joined = measured.join(by, F.col("lang").eqNullSafe(F.col("of_lang")) & F.col("source").eqNullSafe(F.col("of_source")), "left").drop("of_lang", "of_source")
-    return joined.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & within)
+    return joined.withColumn("base_failed", base_failed()).withColumn("failed", F.concat_ws(",", *over)).withColumn("kept", ~F.col("base_failed") & (F.col("failed") == ""))
 
 
 def digest(documents: DataFrame) -> DataFrame:
     """The contract columns and the limits. The counts are written once; the sketches and the filter read them."""
     measured = base.cut(measure(documents))
-    return judge(measured, limits(sketch(measured))).select("doc_id", *COUNTS[:-1], "base_failed", "kept", *[f"max_{k}" for k in SLACK])
+    return judge(measured, limits(sketch(measured))).select("doc_id", *COUNTS[:-1], "base_failed", "kept", "failed", *[f"max_{k}" for k in RULES])

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import hashlib
+import math
+import os
 import random
 import re
 import string
@@ -10,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kindred.llm import bpe, decontaminate, html_text, licenses, quality, secrets, substrings
+from tests.llm.conftest import prose
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
@@ -194,12 +197,82 @@ def test_quality_counts(make, corpus):
     assert quality.digest(make([])).count() == 0
 
 
+def plain_limits(counts):
+    """The limits of (lang, source) from lists of counts, with values rounded as the sketches round them."""
+    g = quality.GAMMA
+
+    def value(v):
+        return 0.0 if v == 0 else 2 * g ** math.ceil(math.log(v) / math.log(g)) / (g + 1)
+
+    def quantile(values, level):
+        values = sorted(values)
+        return next(v for i, v in enumerate(values, 1) if i >= level * len(values))
+
+    def lean(own, n, wider):
+        return [(n * a + 200 * b) / (n + 200) for a, b in zip(own, wider, strict=True)]
+
+    out = defaultdict(dict)
+    for ratio, (low, high, times) in {"symbols": (0.5, 0.9, 2), "repeats": (0.5, 0.99, 0.5), "dup_lines": (0.5, 0.99, 0.5), "long_words": (0.25, 0.75, 5)}.items():
+        rows = [(lang, source, value(plain_ratio(ratio, c))) for lang, source, c in counts if not (c["n_words"] < 10 or 5 * c["n_repeat_words"] > c["n_words"])]
+        two = lambda part: [quantile([v for *_, v in part], x) for x in (low, high)]  # noqa: E731, B023
+        for lang in {r[0] for r in rows}:
+            of = [r for r in rows if r[0] == lang]
+            wider = lean(two(of), len(of), two(rows))
+            for source in {r[1] for r in of}:
+                own = [r for r in of if r[1] == source]
+                a, b = lean(two(own), len(own), wider)
+                out[lang, source][ratio] = b + times * (b - a)
+    return out
+
+
+def plain_ratio(name, c):
+    over, under = {"symbols": ("n_symbols", "n_words"), "repeats": ("n_repeat_words", "n_words"), "dup_lines": ("n_dup_lines", "n_lines"), "long_words": ("word_chars", "n_words")}[name]
+    return c[over] / max(1, c[under])
+
+
+def test_limits_and_verdicts_equal_plain_quantiles(spark, make):
+    rng = random.Random(9)
+    docs = []
+    for i in range(700):
+        lang, source = rng.choice(["en", "en", "de", None]), rng.choice(["a", "a", "a", "b", "c", None])
+        t = prose(rng, rng.randint(12, 90))
+        if rng.random() < {"a": 0.04, "b": 0.2}.get(source, 0.1):
+            t = rng.choice([re.sub(r" ", " | ", t), t + "\n" + "\n".join(["same line"] * 9), re.sub(r"(\w+) (\w+)", r"\1\2", t), "a b c d"])
+        docs.append((i, t, lang, source))
+    measured = quality.measure(make(docs))
+    counts = {r.doc_id: r for r in measured.collect()}
+    want = plain_limits([(lang, source, counts[i]) for i, _, lang, source in docs])
+    got = {(r.lang, r.source): r for r in quality.limits(quality.sketch(measured)).collect()}
+    assert got.keys() == want.keys() and len(got) > 9
+    assert all(got[k][f"max_{c}"] == pytest.approx(v) for k, m in want.items() for c, v in m.items())
+    dropped = 0
+    verdicts = {r.doc_id: r for r in quality.digest(make(docs)).collect()}
+    for i, _, lang, source in docs:
+        c = counts[i]
+        failed = c["n_words"] < 10 or 5 * c["n_repeat_words"] > c["n_words"]
+        over = [k for k, limit in want.get((lang, source), {}).items() if plain_ratio(k, c) > limit and c[quality.COUNTED[k]] >= 3]
+        assert verdicts[i].kept == (not failed and not over), i
+        assert set(filter(None, verdicts[i].failed.split(","))) == set(over)
+        dropped += bool(over) and not failed
+    assert dropped > 20
+
+
+def test_limits_differ_by_language_and_source(spark):
+    path = "/root/testdata/sf0.1/documents.parquet"
+    if not os.path.exists(path):
+        pytest.skip("no test tables")
+    limits = quality.limits(quality.sketch(quality.measure(spark.read.parquet(path)))).collect()
+    for k in quality.RULES:
+        values = [r[f"max_{k}"] for r in limits]
+        assert len(set(values)) > 3 and min(values) < max(values), k
+
+
 def test_quantile_sketches_merge_and_are_close(spark):
     df = spark.range(2000).select(F.col("id").alias("doc_id"), F.lit("en").alias("lang"), F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("source"), F.lit(100).cast("long").alias("n_words"), (F.col("id") + 100).alias("word_chars"), *[F.lit(0).cast("long").alias(c) for c in ("n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")])
     s = quality.sketch(df)
-    q = quality._quantiles(s, "lang").where("ratio = 'long_words'").first()
-    assert q.total == 2000 and abs(q.q50 / 11.0 - 1) < 0.03 and abs(q.q25 / 6.0 - 1) < 0.03
-    parts = quality._quantiles(quality.sketch(df.where("doc_id < 700")).union(quality.sketch(df.where("doc_id >= 700"))), "lang").where("ratio = 'long_words'").first()
+    q = quality.quantiles(s, "lang").where("ratio = 'long_words'").first()
+    assert q.rows == 2000 and abs(q.high / 16.0 - 1) < 0.03 and abs(q.low / 6.0 - 1) < 0.03
+    parts = quality.quantiles(quality.sketch(df.where("doc_id < 700")).union(quality.sketch(df.where("doc_id >= 700"))), "lang").where("ratio = 'long_words'").first()
     assert parts == q
     assert quality.judge(df, quality.limits(s)).where("kept").count() == 2000
 
