@@ -5,7 +5,8 @@ identifiers into few long ones. Candidates are maximal runs of credential charac
 MIN_RUN characters; those with fewer than MAX_RATIO characters a token are reported as kind
 ``entropy``, except known digests and identifiers (see ``KNOWN``).
 
-Defined results: a null or empty text has no spans. Offsets are code points, end exclusive.
+Defined results: a null or empty text has no spans. Offsets are code points, end exclusive. A run that meets a
+base span is not tested. Very long texts and runs take time in proportion to their length.
 Repeated rows are scanned each for itself; null ids pass through.
 """
 
@@ -14,6 +15,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
@@ -34,9 +36,11 @@ RUN_CLASS = bytes(120 if chr(i) in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqr
 
 #: Random strings: least length, and the characters a token below which a run counts as random.
 MIN_RUN, MAX_RATIO = 20, 2.0
+#: Very long runs are split into pieces of so many characters, a cut of which makes a token or two of thousands.
+PIECE = 4096
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_RUN)
 #: Known digests and identifiers: UUIDs; pure decimal or hexadecimal strings (digests: hex is a base kind of its own); dates and times; digests named as such.
-KNOWN = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|[0-9a-fA-F]+|[0-9_+/=-]+|(sha\d{1,3}|md5)[-_:=/]?[A-Za-z0-9+/=]+")
+KNOWN = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|[0-9a-fA-F]+|[0-9_+/=-]+(T[0-9_+/=-]+Z?)?|(sha\d{1,3}|md5)[-_:=/]?[A-Za-z0-9+/=]+")
 #: Numbers and dates between separators of an identifier; the rest decides.
 NUMBER = re.compile(r"(?<![A-Za-z0-9])[0-9]{1,8}(?![A-Za-z0-9])")
 
@@ -54,7 +58,19 @@ def is_random(s: str, encoding) -> bool:
     if KNOWN.fullmatch(s):
         return False
     rest = NUMBER.sub("", s)
-    return len(rest) < MAX_RATIO * len(encoding.encode_ordinary(rest))
+    n = sum(len(encoding.encode_ordinary(rest[i : i + PIECE])) for i in range(0, len(rest), PIECE))
+    return len(rest) < MAX_RATIO * n
+
+
+def _apart(runs: Iterable[re.Match], taken: list[tuple[int, int]]) -> Iterator[re.Match]:
+    """The runs that overlap no taken span; both come sorted."""
+    reach, i = 0, 0
+    for m in runs:
+        while i < len(taken) and taken[i][0] < m.end():
+            reach = max(reach, taken[i][1])
+            i += 1
+        if reach <= m.start():
+            yield m
 
 
 def scan(data: bytes, encoding) -> list[tuple[int, int, str]]:
@@ -76,7 +92,7 @@ def scan(data: bytes, encoding) -> list[tuple[int, int, str]]:
         found += [(*m.span(), "hex") for m in HEX.finditer(text) if m.end() - m.start() >= MIN_HEX]
     if run:
         taken = sorted((a, b) for a, b, _ in found)
-        found += [(*m.span(), "entropy") for m in RUN.finditer(text) if not any(a < m.end() and m.start() < b for a, b in taken) and is_random(m[0], encoding)]
+        found += [(*m.span(), "entropy") for m in _apart(RUN.finditer(text), taken) if is_random(m[0], encoding)]
     order = {k: i for i, k in enumerate((*KINDS, "entropy"))}
     return sorted(found, key=lambda x: (x[0], order[x[2]], x[1]))
 
