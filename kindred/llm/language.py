@@ -4,13 +4,13 @@ A text is the vector of log(1 + count) * idf over hashed byte bigrams and trigra
 length 1. Each language has up to CLUSTERS centroids, found by spherical k-means on at most SAMPLE texts
 of it (the bound of the fitted sample; texts are chosen by a hash of their id). Document frequencies are
 counted over all texts to learn from. The language of the most similar centroid by cosine is predicted;
-a text whose cosine is below the language's floor is rejected. The floor is the geometric mean of what the
-language's own texts reach (their 1 % quantile) and of what texts of no language reach (random letters, of
+a text whose cosine is below the language's floor is rejected. The floor is calibrated on every FOLDS-th text of the sample,
+which the centroids have not seen: it is the geometric mean of what they reach (their 1 % quantile) and of what texts of no language reach (random letters, of
 lengths up to thousands of words); the hash is wide enough that foreign n-grams meet few of the language's.
 Texts of a few words reach less: below FULL n-grams the floor goes down, geometrically, to what a few random words reach.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0 and rejected. Ties go to
-the first language by name. Without a text to learn from every text is ``und``. Repeated rows are
+the first language by name. Without a text to learn from every text is ``und``. Texts of any length are predicted whole. Repeated rows are
 predicted each for itself; a null id takes no part in learning and counts as not held out.
 """
 
@@ -31,6 +31,8 @@ from . import base
 BITS = 15
 SIZE = 1 << BITS
 SAMPLE, CLUSTERS, ROUNDS = 400, 3, 12
+#: One text in so many calibrates the floor, if there are enough.
+FOLDS = 4
 #: Texts of random letters: words, and how many texts of each length.
 UNRELATED, DRAWS = (3, 30, 300, 3000), 8
 #: N-grams from which a text counts as long.
@@ -151,8 +153,9 @@ def fit(documents: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS) ->
         if not rows:
             continue
         x = model.vectors(np.stack([np.frombuffer(zlib.decompress(r.raw), "<u2") for r in rows]))
-        c = k_means(x, clusters)
-        reach = np.quantile((x @ c.T).max(1), 0.01)
+        aside = np.arange(len(x)) % FOLDS == FOLDS - 1
+        c = k_means(x[~aside], clusters)
+        reach = np.quantile((x[aside if aside.any() else ~aside] @ c.T).max(1), 0.01)
         model.centroids = np.concatenate([model.centroids, c])
         model.of = np.append(model.of, np.full(len(c), len(model.langs), np.int64))
         model.floor = np.append(model.floor, reach)
