@@ -371,6 +371,9 @@ def link_documents(documents: DataFrame, blocks: tuple[int, int] = BLOCKS, rule:
 
 
 def keep_one(documents: DataFrame, rule: Rule = RULE) -> DataFrame:
-    """The documents, with all their columns, that have the smallest id of their component; those with a null id stay."""
-    gone = link_documents(documents, rule=rule).where("component_id <> doc_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return documents.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
+    """The documents, with all their columns, that have the smallest id of their component; those with a null id stay, and so does every row of a kept id."""
+    name = "gone"
+    while name in documents.columns:
+        name += "_"
+    gone = link_documents(documents, rule=rule).where("component_id <> doc_id").select(F.col("doc_id").alias(name)).distinct()
+    return documents.join(gone, F.col("doc_id").cast("long") == F.col(name), "left_anti")
