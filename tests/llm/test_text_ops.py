@@ -9,6 +9,7 @@ import string
 import time
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -94,11 +95,50 @@ def windows(text):
     return [tuple(w[i : i + 10]) for i in range(max(1, len(w) - 9))] if w else []
 
 
-def test_decontamination_equals_brute_force(spark, make, corpus):
+def test_suffix_arrays_are_sorted_and_searched(monkeypatch):
+    rng = random.Random(1)
+    for _ in range(400):
+        n, most, width = rng.randint(1, 60), rng.choice([1, 2, 3, 50, 70_000]), rng.choice([1, 3, 10])
+        t = [rng.randint(0, most) for _ in range(n)]
+        if rng.random() < 0.3:
+            t = (t[:7] * 9)[:n] or t
+        array = decontaminate.SuffixArray(np.array(t))
+        assert array.order.tolist() == sorted(range(len(t)), key=lambda i: t[i:])
+        queries = []
+        for _ in range(20):
+            size, i = rng.randint(1, width), rng.randrange(len(t))
+            queries.append(t[i : i + size] if rng.random() < 0.7 else [rng.randint(0, most + 2) for _ in range(size)])
+        low, high = array.find(np.array([q + [0] * (width - len(q)) for q in queries]), np.array(list(map(len, queries))))
+        for q, a, b in zip(queries, low, high, strict=True):
+            assert array.order[a:b].tolist() == [i for i in array.order.tolist() if t[i : i + len(q)] == q]
+
+
+@pytest.mark.parametrize(("words_", "bytes_", "block"), [(1 << 20, 4 << 20, 16 << 20), (23, 700, 300)])
+def test_decontamination_equals_brute_force(spark, make, corpus, monkeypatch, words_, bytes_, block):
+    """Also with many shards, texts over several of them, and three blocks or more, of which one at a time is broadcast."""
+    monkeypatch.setattr(decontaminate, "SHARD_WORDS", words_)
+    monkeypatch.setattr(decontaminate, "SHARD_BYTES", bytes_)
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block)
+    context = type(spark.sparkContext)
+    live, most, blocks = [], [], []
+    put = context.broadcast
+
+    def counted(sc, value):
+        b = put(sc, value)
+        if isinstance(value, decontaminate.Index):
+            live.append(b)
+            blocks.append(len(value.queries))
+            most.append(len(live))
+            drop = b.destroy
+            b.destroy = lambda *a: (live.remove(b), drop(*a))
+        return b
+
+    monkeypatch.setattr(context, "broadcast", counted)
     items = [(1, corpus[3][1]), (10, " ".join(corpus[20][1].split()[2:40])), (2, "only three words"), (3, ""), (4, None), (5, "unseen words of a benchmark item that no document has at all here"), (6, "a row without an id but with words in its text")]
     bench = spark.createDataFrame(items, "item_id long, text string")
     docs = [*corpus, (800, "Before: " + (items[1][1] or "").upper() + " after", "en", "s"), (801, "these are only three words", "en", "s"), (802, "only three", "en", "s")]
     got = by_id(decontaminate.digest(make(docs), bench))
+    assert max(most) == 1 and len(blocks) >= (3 if block < 1000 else 1)
     for i, text, _, _ in docs:
         w, hit, found = words(text), set(), set()
         for item, t in items:
