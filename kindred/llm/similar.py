@@ -9,8 +9,14 @@ The others fall into neighbourhoods: components of the graph that joins sets sha
 similar sets are partitioned into groups, and each group stores its token union as a row of a bit matrix. A set
 is compared with all rows at once: the popcount of the overlap bounds what it can share with any member;
 only qualifying groups are opened, their members bounded in the same way, and the survivors compared exactly.
-A large neighbourhood is cut into blocks of about ROOT * sqrt(its sets), within BLOCKS, and each task takes one
-pair of blocks, so no task holds more than 2 * BLOCKS[1] sets; the links found are joined to components over all tasks.
+The links found are joined to components over all tasks.
+
+A neighbourhood of up to BLOCKS[0] sets is one task. A larger one is worked on in steps, each over what the one before
+left open, since two sets that are connected already need not be compared: (1) parts of BLOCKS[1] sets, every set in
+one part; (2) two sets of each class found, in blocks of BLOCKS[0]; (3) if the neighbourhood still has several
+classes, everything that may be linked: its sets outside the largest class against all of its sets, by pairs of blocks of
+about ROOT * sqrt(its sets), at most BLOCKS[2]. Copies with few changes end with step 2, and a text is sent twice there.
+Only a neighbourhood of very many sets that are similar, but not linked, sends its texts once for each block of step 3.
 
 Exactness: segments of fewer than two shingles are weak: unrelated sets may share them. There are SPARE more segments
 than needed, so linked sets agree on one more than SPARE; a set with at most SPARE weak segments shares a strong
@@ -42,7 +48,7 @@ from .graph import components
 SHINGLE = 3
 #: Linked: intersection / union >= NUM / DEN.
 NUM, DEN = 9, 10
-BLOCKS, ROOT = (250, 4000), 8
+BLOCKS, ROOT = (250, 64, 4000), 8
 #: Members of a group of the token-group matrix.
 GROUP = 64
 #: Sizes of levels grow by LEVEL from Rule.first.
@@ -249,7 +255,8 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class TokenGroups:
     """The token-group matrix of a neighbourhood, filled set by set in order of size."""
 
-    def __init__(self, sets: list[np.ndarray], rule: Rule = RULE):
+    def __init__(self, sets: list[np.ndarray], rule: Rule = RULE, labels: list[int] | None = None):
+        """labels: sets of one label are connected already."""
         self.sets, self.rule = sets, rule
         typical = int(np.median([len(s) for s in sets]))
         self.bits = min(1 << 16, max(512, 1 << (8 * typical).bit_length()))
@@ -257,7 +264,8 @@ class TokenGroups:
         self.matrix = np.zeros((16, self.words), np.uint64)  # a group's token union
         self.rows = np.zeros((len(sets), self.words), np.uint64)
         self.members: list[list[int]] = []
-        self.parent = list(range(len(sets)))
+        first: dict[int, int] = {}
+        self.parent = [first.setdefault(x, i) for i, x in enumerate(labels)] if labels else list(range(len(sets)))
 
     def root(self, x: int) -> int:
         while self.parent[x] != x:
@@ -314,35 +322,91 @@ class TokenGroups:
 
 def _verify(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
     """Rows sorted by task (neighbourhood, i, j): links of each task's sets."""
-    task, ids, texts = None, [], []
+    task, ids, labels, texts = None, [], [], []
 
     def done() -> pa.RecordBatch:
         edges = np.zeros((0, 2), np.int64)
-        if len(ids) > 1:
+        if len(set(labels)) > 1:
             sets: dict[int, np.ndarray] = {}
+            of = dict(zip(ids, labels, strict=True))
             for at in range(0, len(texts), 256):
                 for i, s in zip(ids[at : at + 256], shingle_sets(texts[at : at + 256], rule.width), strict=True):
                     if len(s) and set_id(s) == i:
                         sets[i] = s
             names = list(sets)
             if len(names) > 1:
-                edges = np.array([(names[x], names[y]) for x, y in TokenGroups(list(sets.values()), rule).links()], np.int64).reshape(-1, 2)
+                links = TokenGroups(list(sets.values()), rule, [of[i] for i in names]).links()
+                edges = np.array([(names[x], names[y]) for x, y in links], np.int64).reshape(-1, 2)
         return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(edges[:, 0])), pa.array(np.ascontiguousarray(edges[:, 1]))], ["a", "b"])
 
     for b in batches:
-        for t, i, text in zip(zip(b["near"].to_pylist(), b["i"].to_pylist(), b["j"].to_pylist(), strict=True), b["sid"].to_pylist(), base.utf8(b["text"]), strict=True):
-            if t != task:
+        columns = [b[c].to_pylist() for c in ("near", "i", "j", "sid", "label")]
+        for near, x, y, i, label, text in zip(*columns, base.utf8(b["text"]), strict=True):
+            if (near, x, y) != task:
                 if (r := done()).num_rows:
                     yield r
-                task, ids, texts = t, [], []
+                task, ids, labels, texts = (near, x, y), [], [], []
             ids.append(i)
+            labels.append(label)
             texts.append(text)
     if (r := done()).num_rows:
         yield r
 
 
-def link_documents(documents: DataFrame, blocks: tuple[int, int] = BLOCKS, rule: Rule = RULE) -> DataFrame:
-    """doc_id, n_shingles and component_id: the smallest doc_id reachable by links. blocks: the least and the greatest size of a block; rule: shingle width and similarity."""
+def _compare(tasks: DataFrame, rule: Rule) -> DataFrame:
+    """The links (a, b) among the sets of each task. tasks: near, i, j, sid, label, text."""
+    dealt = tasks.select("near", "i", "j", "sid", "label", "text").repartition("near", "i", "j").sortWithinPartitions("near", "i", "j")
+    return base.map_batches(dealt, partial(_verify, rule=rule), "a long, b long")
+
+
+def _dealt(count, size):
+    """The block of a set, by its id, of as many blocks as the count needs."""
+    return F.pmod(F.xxhash64("sid"), F.ceil(count / size)).cast("int")
+
+
+def _open(sets: DataFrame, links: DataFrame) -> DataFrame:
+    """near, sid, label (the class found so far), n (sets of the class), classes and top (the largest class) of the neighbourhood: where there is more than one class."""
+    classes = components(links).select(F.col("node").alias("sid"), F.col("component").alias("label"))
+    named = sets.select("near", "sid").join(classes, "sid", "left").select("near", "sid", F.coalesce("label", "sid").alias("label"))
+    sizes = named.groupBy("near", "label").agg(F.count("*").alias("n"))
+    several = sizes.groupBy("near").agg(F.count("*").alias("classes"), F.sum("n").alias("all"), F.max(F.struct("n", "label")).alias("top")).where("classes > 1")
+    return named.join(several.select("near", "classes", "all", F.col("top.n").alias("n"), F.col("top.label").alias("top")), "near")
+
+
+def _links(texts: DataFrame, blocks: tuple[int, int, int], rule: Rule) -> DataFrame:
+    """Links that connect the same sets as all links do. texts: near, n (sets of the neighbourhood), sid, text."""
+    whole, part, most = blocks
+    own = F.when(F.col("n") > whole, _dealt(F.col("n"), part)).otherwise(0)
+    found = base.cut(_compare(texts.select("near", own.alias("i"), F.lit(0).alias("j"), "sid", F.col("sid").alias("label"), "text"), rule))
+    large = base.cut(texts.where(F.col("n") > whole).select("near", "sid"))
+    if large.isEmpty():
+        return found
+    left = base.cut(_open(large, found))
+    if left.isEmpty():
+        return found
+    # two sets of each class
+    ends = left.groupBy("near", "label").agg(F.max("classes").alias("classes"), F.array_distinct(F.array(F.min("sid"), F.max("sid"))).alias("sids"))
+    ends = ends.select("near", "label", F.explode("sids").alias("sid"), "classes").withColumn("i", _dealt(2 * F.col("classes"), whole))
+    found = base.cut(found.unionByName(_compare(texts.join(ends.drop("near"), "sid").withColumn("j", F.lit(0)), rule)))
+    left = base.cut(_open(left, found))
+    if left.isEmpty():
+        return found
+    # sets outside the largest class (in blocks from `first` on) against all of the neighbourhood's sets
+    size = F.greatest(F.least(ROOT * F.sqrt("all"), F.lit(most)), F.lit(part))
+    left = left.withColumn("first", F.ceil(F.col("n") / size).cast("int")).withColumn("others", F.ceil((F.col("all") - F.col("n")) / size).cast("int"))
+    hashed = F.xxhash64("sid")
+    upto = lambda a, n: F.sequence(a, a + n - 1)
+    pair = lambda x, y: F.struct(F.least(x, y).alias("i"), F.greatest(x, y).alias("j"))
+    mine = F.pmod(hashed, F.col("first")).cast("int")
+    other = F.col("first") + F.pmod(hashed, F.col("others")).cast("int")
+    of_top = F.transform(upto(F.col("first"), F.col("others")), lambda o: pair(mine, o))
+    of_rest = F.transform(F.filter(upto(F.lit(0), F.col("first") + F.col("others")), lambda o: o != other), lambda o: pair(other, o))
+    tasks = left.select("sid", "label", F.explode(F.when(F.col("label") == F.col("top"), of_top).otherwise(of_rest)).alias("p")).select("sid", "label", "p.i", "p.j")
+    return base.cut(found.unionByName(_compare(texts.join(tasks, "sid"), rule)))
+
+
+def link_documents(documents: DataFrame, blocks: tuple[int, int, int] = BLOCKS, rule: Rule = RULE) -> DataFrame:
+    """doc_id, n_shingles and component_id: the smallest doc_id reachable by links. blocks: sets of a task (see above); rule: shingle width and similarity."""
     d = base.texts_of(documents, "doc_id", "text")
     whole = d.where("doc_id is not null and text is not null")
     met = base.map_batches(base.map_batches(whole, partial(_emit, rule=rule), ROWS).repartition("key").sortWithinPartitions("kind", "key", "a"), _meet, ROWS)
@@ -350,17 +414,9 @@ def link_documents(documents: DataFrame, blocks: tuple[int, int] = BLOCKS, rule:
     docs = met.where(f"kind = {DOC}").select(F.col("a").alias("doc_id"), F.col("b").alias("sid"), F.col("n").alias("n_shingles"))
     reps = base.cut(docs.groupBy("sid").agg(F.min("doc_id").alias("rep")))
     near = base.cut(components(met.where(f"kind = {EDGE}").select("a", "b")))
-    size = F.greatest(F.least(ROOT * F.sqrt(F.count("*")), F.lit(blocks[1])), F.lit(blocks[0]))
-    many = near.groupBy("component").agg(F.ceil(F.count("*") / size).cast("int").alias("k"))
-    near = near.join(many, "component").select(F.col("node").alias("sid"), F.col("component").alias("near"), "k")
-    # a set's block, and the pairs of blocks that hold it
-    own = F.pmod(F.xxhash64("sid"), F.col("k")).cast("int")
-    pairs = F.when(F.col("k") == 1, F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))).otherwise(
-        F.transform(F.filter(F.sequence(F.lit(0), F.col("k") - 1), lambda o: o != own), lambda o: F.struct(F.least(o, own).alias("i"), F.greatest(o, own).alias("j")))
-    )
-    members = near.join(reps, "sid").select(F.col("rep").alias("doc_id"), "sid", "near", F.explode(pairs).alias("p")).select("doc_id", "sid", "near", "p.i", "p.j")
-    texts = whole.join(members, "doc_id").select("near", "i", "j", "sid", "text")
-    links = base.map_batches(texts.repartition("near", "i", "j").sortWithinPartitions("near", "i", "j"), partial(_verify, rule=rule), "a long, b long")
+    many = near.groupBy("component").agg(F.count("*").alias("n"))
+    members = near.join(many, "component").select(F.col("node").alias("sid"), F.col("component").alias("near"), "n").join(reps, "sid").withColumnRenamed("rep", "doc_id")
+    links = _links(base.cut(whole.join(members, "doc_id").select("near", "n", "sid", "text")), blocks, rule)
     classes = components(links).select(F.col("node").alias("sid"), "component")
     named = reps.join(classes, "sid", "left").select("sid", "rep", F.coalesce("component", "sid").alias("component"))
     least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
