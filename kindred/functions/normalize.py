@@ -10,85 +10,84 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Rules, in the order they apply (fixed values): what is written, then its short form. A final "." may be missing;
-#: "~" stands for optional, "_" for required white space.
-NAME_RULES = """
-corporation corp
-corp. corp
-incorporated inc
-inc. inc
-limited ltd
-ltd. ltd
-private pvt
-pvt. pvt
-pte. pvt
-llc. llc
-l.l.c. llc
-llp. llp
-l.l.p. llp
-company co
-co. co
-gmbh gmbh
-sa sa
-s.a. sa
-sarl sarl
-s.a.r.l. sarl
-bv bv
-b.v. bv
-plc plc
-enterprises ent
-technologies tech
-technology tech
-tech. tech
-solutions soln
-solution soln
-services serv
-service serv
-international intl
-intl. intl
-group grp
-holdings hldg
-"""
-ADDRESS_RULES = """
-street st
-st. st
-road rd
-rd. rd
-avenue ave
-ave. ave
-boulevard blvd
-blvd. blvd
-drive dr
-dr. dr
-lane ln
-ln. ln
-floor fl
-flr. fl
-fl. fl
-suite ste
-ste. ste
-apartment apt
-apt. apt
-building bldg
-bldg. bldg
-highway hwy
-hwy. hwy
-parkway pkwy
-pkwy. pkwy
-court ct
-ct. ct
-place pl
-pl. pl
-square sq
-sq. sq
-circle cir
-cir. cir
-number no
-num. no
-no. no
-p?~o?~box pobox
-post_office_box pobox
-"""
+#: Rules, in the order they apply (fixed values): the pattern of a whole word, and its short form.
+NAME_RULES = (
+    (r"corporation", "corp"),
+    (r"corp\.?", "corp"),
+    (r"incorporated", "inc"),
+    (r"inc\.?", "inc"),
+    (r"limited", "ltd"),
+    (r"ltd\.?", "ltd"),
+    (r"private", "pvt"),
+    (r"pvt\.?", "pvt"),
+    (r"pte\.?", "pvt"),
+    (r"llc\.?", "llc"),
+    (r"l\.l\.c\.?", "llc"),
+    (r"llp\.?", "llp"),
+    (r"l\.l\.p\.?", "llp"),
+    (r"company", "co"),
+    (r"co\.?", "co"),
+    (r"gmbh", "gmbh"),
+    (r"sa", "sa"),
+    (r"s\.a\.?", "sa"),
+    (r"sarl", "sarl"),
+    (r"s\.a\.r\.l\.?", "sarl"),
+    (r"bv", "bv"),
+    (r"b\.v\.?", "bv"),
+    (r"plc", "plc"),
+    (r"enterprises", "ent"),
+    (r"technologies", "tech"),
+    (r"technology", "tech"),
+    (r"tech\.?", "tech"),
+    (r"solutions", "soln"),
+    (r"solution", "soln"),
+    (r"services", "serv"),
+    (r"service", "serv"),
+    (r"international", "intl"),
+    (r"intl\.?", "intl"),
+    (r"group", "grp"),
+    (r"holdings", "hldg"),
+)
+ADDRESS_RULES = (
+    (r"street", "st"),
+    (r"st\.?", "st"),
+    (r"road", "rd"),
+    (r"rd\.?", "rd"),
+    (r"avenue", "ave"),
+    (r"ave\.?", "ave"),
+    (r"boulevard", "blvd"),
+    (r"blvd\.?", "blvd"),
+    (r"drive", "dr"),
+    (r"dr\.?", "dr"),
+    (r"lane", "ln"),
+    (r"ln\.?", "ln"),
+    (r"floor", "fl"),
+    (r"flr\.?", "fl"),
+    (r"fl\.?", "fl"),
+    (r"suite", "ste"),
+    (r"ste\.?", "ste"),
+    (r"apartment", "apt"),
+    (r"apt\.?", "apt"),
+    (r"building", "bldg"),
+    (r"bldg\.?", "bldg"),
+    (r"highway", "hwy"),
+    (r"hwy\.?", "hwy"),
+    (r"parkway", "pkwy"),
+    (r"pkwy\.?", "pkwy"),
+    (r"court", "ct"),
+    (r"ct\.?", "ct"),
+    (r"place", "pl"),
+    (r"pl\.?", "pl"),
+    (r"square", "sq"),
+    (r"sq\.?", "sq"),
+    (r"circle", "cir"),
+    (r"cir\.?", "cir"),
+    (r"number", "no"),
+    (r"num\.?", "no"),
+    (r"no\.?", "no"),
+    (r"p\.?\s*o\.?\s*box", "pobox"),
+    (r"post\s+office\s+box", "pobox"),
+)
 #: Country texts after normalisation and the name they stand for (fixed values).
 COUNTRIES = {
     "us": ("usa", "united states", "united states of america", "u s a", "u s"),
@@ -101,17 +100,6 @@ COUNTRIES = {
 }
 
 
-def patterns(table: str) -> list[tuple[str, str]]:
-    """(regular expression, short form) of a rule table. "?" is an optional dot inside."""
-    out = []
-    for line in table.split("\n"):
-        if line:
-            written, short = line.split(" ")
-            body = "".join({".": r"\.", "~": r"\s*", "_": r"\s+", "?": r"\.?"}.get(c, c) for c in written.rstrip("."))
-            out.append((rf"(?U)\b{body}" + (r"\.?" if written.endswith(".") else "") + r"\b", short))
-    return out
-
-
 @F.pandas_udf(T.StringType())
 def _fold(texts: pd.Series) -> pd.Series:
     def one(t: str | None) -> str | None:
@@ -126,8 +114,8 @@ def fold(c: Column, ascii_only: bool = False) -> Column:
     return c if ascii_only else _fold(c)
 
 
-def apply_rules(c: Column, table: str) -> Column:
-    return reduce(lambda x, rule: F.regexp_replace(x, *rule), patterns(table), c)
+def apply_rules(c: Column, table: tuple[tuple[str, str], ...]) -> Column:
+    return reduce(lambda x, rule: F.regexp_replace(x, rf"(?U)\b{rule[0]}\b", rule[1]), table, c)
 
 
 def tokens(c: Column) -> Column:
@@ -184,15 +172,16 @@ def discover_roles(columns: list[str]) -> dict[str, str]:
 
 
 def preprocess(df: DataFrame, source: str | Column, ascii_only: bool = False) -> DataFrame:
-    """The record table: raw and normalised fields, tokens, and flags of missing fields."""
-    roles = discover_roles(df.columns)
+    """The record table: raw and normalised fields, tokens, and flags of missing fields; a column row_order stays."""
+    order = [c for c in df.columns if c == "row_order"]
+    roles = discover_roles([c for c in df.columns if c != "row_order"])
     raw = lambda role: F.coalesce(F.col(f"`{roles[role]}`").cast("string"), F.lit("")) if role in roles else F.lit("")
     source = F.lit(source) if isinstance(source, str) else source
     x = df.select(
-        F.trim(F.coalesce(F.col(f"`{roles['id']}`").cast("string"), F.lit("nan"))).alias("id"), source.alias("source"), raw("name").alias("raw_name"), raw("address").alias("raw_address"), raw("country").alias("raw_country")
+        F.trim(F.coalesce(F.col(f"`{roles['id']}`").cast("string"), F.lit("nan"))).alias("id"), source.alias("source"), raw("name").alias("raw_name"), raw("address").alias("raw_address"), raw("country").alias("raw_country"), *order
     )
     x = x.select("*", *[fold(F.col(f"raw_{k}"), ascii_only).alias(f"_{k}") for k in ("name", "address", "country")])
     x = x.select("*", name_tokens(F.col("_name")).alias("name_tokens"), address_tokens(F.col("_address")).alias("addr_tokens"), numeric_tokens(F.lower("_address")).alias("numeric_tokens"), country(F.col("_country")).alias("norm_country"))
     x = x.withColumn("norm_name", F.array_join("name_tokens", " ")).withColumn("norm_address", F.array_join("addr_tokens", " "))
     flags = [(F.col(f"norm_{k}") == "").cast("int").alias(f"missing_{k}") for k in ("name", "address", "country")]
-    return x.select("id", "source", "raw_name", "raw_address", "raw_country", "norm_name", "name_tokens", "norm_address", "addr_tokens", "numeric_tokens", "norm_country", *flags)
+    return x.select("id", "source", "raw_name", "raw_address", "raw_country", "norm_name", "name_tokens", "norm_address", "addr_tokens", "numeric_tokens", "norm_country", *flags, *order)

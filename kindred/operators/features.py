@@ -7,11 +7,38 @@ from pyspark.sql import functions as F
 
 from kindred.functions import similarity as S
 
+#: Names of the features, in order (fixed values).
 FEATURES = (
-    "name_exact name_token_exact name_jaccard name_overlap name_common_tokens name_lev name_ngram2 name_ngram3 name_len_diff name_len_ratio "
-    "addr_exact addr_jaccard addr_overlap addr_common_tokens addr_lev addr_ngram3 addr_len_diff num_overlap num_common_count country_match country_conflict "
-    "missing_s1_addr missing_c_addr is_source2 is_source3 composite_sim min_sim max_sim harmonic_sim"
-).split()
+    "name_exact",
+    "name_token_exact",
+    "name_jaccard",
+    "name_overlap",
+    "name_common_tokens",
+    "name_lev",
+    "name_ngram2",
+    "name_ngram3",
+    "name_len_diff",
+    "name_len_ratio",
+    "addr_exact",
+    "addr_jaccard",
+    "addr_overlap",
+    "addr_common_tokens",
+    "addr_lev",
+    "addr_ngram3",
+    "addr_len_diff",
+    "num_overlap",
+    "num_common_count",
+    "country_match",
+    "country_conflict",
+    "missing_s1_addr",
+    "missing_c_addr",
+    "is_source2",
+    "is_source3",
+    "composite_sim",
+    "min_sim",
+    "max_sim",
+    "harmonic_sim",
+)
 FIELDS = ("source", "norm_name", "name_tokens", "norm_address", "addr_tokens", "numeric_tokens", "norm_country")
 
 
@@ -52,9 +79,16 @@ def with_features(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return x.select(*keep, *[v.alias(k) for k, v in zip(FEATURES, values, strict=True)])
 
 
+def last_records(records: DataFrame) -> DataFrame:
+    """(id, r: its fields) of each id once: the last of its rows, by source and row_order if there is such a column, else as the rows come."""
+    order = F.col("row_order") if "row_order" in records.columns else F.monotonically_increasing_id()
+    one = records.select("id", F.struct(F.col("source").alias("s"), order.alias("o")).alias("place"), F.struct(*FIELDS).alias("r"))
+    return one.groupBy("id").agg(F.max_by("r", "place").alias("r"))
+
+
 def record_pairs(pairs: DataFrame, s1: DataFrame, targets: DataFrame) -> DataFrame:
-    """(s1_id, target_id, a, b): ids and the records; a pair with an unknown id is left out."""
-    side = lambda df, i, k: df.select(F.col("id").alias(i), F.struct(*FIELDS).alias(k))
+    """(s1_id, target_id, a, b): ids and the records; a pair with an unknown id is left out, and the last record of a repeated id counts."""
+    side = lambda df, i, k: last_records(df).select(F.col("id").alias(i), F.col("r").alias(k))
     return pairs.select("s1_id", "target_id").join(side(s1, "s1_id", "a"), "s1_id").join(side(targets, "target_id", "b"), "target_id").select("s1_id", "target_id", "a", "b")
 
 

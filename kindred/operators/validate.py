@@ -55,5 +55,11 @@ def validate_files(spark: SparkSession, matching: str, candidate: str, test_dir:
     return spark.createDataFrame(bad, SCHEMA) if bad else violations(*tables)
 
 
+def summary(matching: DataFrame) -> DataFrame:
+    """One row of a valid table of matches: entities, total_matches, singletons, multi_matches."""
+    n = F.size(id_list(F.col(MATCH_COLUMNS[1])))
+    return matching.agg(F.count("*").alias("entities"), F.coalesce(F.sum(n), F.lit(0)).cast("long").alias("total_matches"), F.count_if(n == 0).alias("singletons"), F.count_if(n > 1).alias("multi_matches"))
+
+
 def is_valid(found: DataFrame) -> bool:
     return found.isEmpty()

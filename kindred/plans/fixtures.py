@@ -30,10 +30,15 @@ union all {_noisy(2, "k%10 in (2,3,4,5,8,9)", 0, 0)}
 union all {_noisy(3, "k%10>=6", 1, 2)}
 """
 
+#: BIZ with names that begin with two code words, so that prefixes and words have pools within their caps; words of every 7th record stand beyond them.
+CODED = f"""
+select id, source, concat(substr(md5(cast(k as string)),1,5),' ',case when k%7=0 then 'common' else substr(md5(cast(k%211 as string)),1,6) end,' ',raw_name) raw_name, raw_address, raw_country, k from ({BIZ}) z
+"""
+
 DOC = """
 select concat(case when doc_id < 0.6*n then 'S1_' when doc_id%2=0 then 'S2_' else 'S3_' end, lpad(cast(doc_id as string),8,'0')) id,
  case when doc_id < 0.6*n then 'source1' when doc_id%2=0 then 'source2' else 'source3' end source,
- substr(text,1,60) raw_name, substr(text,61,80) raw_address, lang raw_country
+ text raw_name, text raw_address, lang raw_country
 from {documents} cross join (select count(*) n from {documents}) c
 """
 
@@ -42,6 +47,20 @@ def biz_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(BIZ, part=spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_name", "p_brand", "p_type", "p_size"))
 
 
+def coded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    return _records(spark.sql(CODED, part=part), True)
+
+
+def repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The business records, every fifth with an earlier record of other content under its id; in mixed order, the place is in row_order."""
+    raw = biz_raw(spark, sf_dir)
+    early = raw.where("k % 5 = 0").select("id", "source", F.concat(F.lit("Old "), "raw_address").alias("raw_name"), F.col("raw_name").alias("raw_address"), F.lit("Japan").alias("raw_country"), "k")
+    both = raw.withColumn("row_order", F.col("k") + 1_000_000).unionByName(early.withColumn("row_order", F.col("k"))).orderBy(F.xxhash64("id", "row_order"))
+    named = both.select("id", F.col("raw_name").alias("name"), F.col("raw_address").alias("address"), F.col("raw_country").alias("country"), "source", "row_order")
+    return preprocess(named, F.col("source"), True)
+
+
 def _records(raw: DataFrame, ascii_only: bool) -> DataFrame:
     named = raw.select("id", F.col("raw_name").alias("name"), F.col("raw_address").alias("address"), F.col("raw_country").alias("country"), "source")
     return preprocess(named, F.col("source"), ascii_only)

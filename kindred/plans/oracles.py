@@ -2,30 +2,115 @@
 
 from __future__ import annotations
 
-from kindred.functions.normalize import ADDRESS_RULES, COUNTRIES, NAME_RULES, patterns
-from kindred.operators.blocking import CAPS, FIRST_SAMPLE, LEAST_COSINE, STOP, TOP_K, VOCABULARY
-from kindred.operators.features import FEATURES
-
-from .fixtures import BIZ
+from .fixtures import BIZ, CODED
 
 THRESHOLD = 0.62
 
-
-def _rules(x: str, table: str) -> str:
-    for pattern, short in patterns(table):
-        x = f"regexp_replace({x}, '{pattern.replace('(?U)', '')}', '{short}', 'g')"
+# Fixed values, written down here for themselves, so that a wrong one in the engine shows.
+#: Patterns of whole words in names and addresses, and what takes their place, in order.
+_NAME_RULES = (
+    (r"corporation", "corp"),
+    (r"corp\.?", "corp"),
+    (r"incorporated", "inc"),
+    (r"inc\.?", "inc"),
+    (r"limited", "ltd"),
+    (r"ltd\.?", "ltd"),
+    (r"private", "pvt"),
+    (r"pvt\.?", "pvt"),
+    (r"pte\.?", "pvt"),
+    (r"llc\.?", "llc"),
+    (r"l\.l\.c\.?", "llc"),
+    (r"llp\.?", "llp"),
+    (r"l\.l\.p\.?", "llp"),
+    (r"company", "co"),
+    (r"co\.?", "co"),
+    (r"gmbh", "gmbh"),
+    (r"sa", "sa"),
+    (r"s\.a\.?", "sa"),
+    (r"sarl", "sarl"),
+    (r"s\.a\.r\.l\.?", "sarl"),
+    (r"bv", "bv"),
+    (r"b\.v\.?", "bv"),
+    (r"plc", "plc"),
+    (r"enterprises", "ent"),
+    (r"technologies", "tech"),
+    (r"technology", "tech"),
+    (r"tech\.?", "tech"),
+    (r"solutions", "soln"),
+    (r"solution", "soln"),
+    (r"services", "serv"),
+    (r"service", "serv"),
+    (r"international", "intl"),
+    (r"intl\.?", "intl"),
+    (r"group", "grp"),
+    (r"holdings", "hldg"),
+)
+_ADDRESS_RULES = (
+    (r"street", "st"),
+    (r"st\.?", "st"),
+    (r"road", "rd"),
+    (r"rd\.?", "rd"),
+    (r"avenue", "ave"),
+    (r"ave\.?", "ave"),
+    (r"boulevard", "blvd"),
+    (r"blvd\.?", "blvd"),
+    (r"drive", "dr"),
+    (r"dr\.?", "dr"),
+    (r"lane", "ln"),
+    (r"ln\.?", "ln"),
+    (r"floor", "fl"),
+    (r"flr\.?", "fl"),
+    (r"fl\.?", "fl"),
+    (r"suite", "ste"),
+    (r"ste\.?", "ste"),
+    (r"apartment", "apt"),
+    (r"apt\.?", "apt"),
+    (r"building", "bldg"),
+    (r"bldg\.?", "bldg"),
+    (r"highway", "hwy"),
+    (r"hwy\.?", "hwy"),
+    (r"parkway", "pkwy"),
+    (r"pkwy\.?", "pkwy"),
+    (r"court", "ct"),
+    (r"ct\.?", "ct"),
+    (r"place", "pl"),
+    (r"pl\.?", "pl"),
+    (r"square", "sq"),
+    (r"sq\.?", "sq"),
+    (r"circle", "cir"),
+    (r"cir\.?", "cir"),
+    (r"number", "no"),
+    (r"num\.?", "no"),
+    (r"no\.?", "no"),
+    (r"p\.?\s*o\.?\s*box", "pobox"),
+    (r"post\s+office\s+box", "pobox"),
+)
+#: Countries' aliases.
+_COUNTRIES = {"us": ("usa", "united states", "united states of america", "u s a", "u s"), "india": ("ind", "in", "republic of india"), "united kingdom": ("uk", "u k", "great britain"), "france": ("fra", "fr"), "germany": ("deu", "de"), "canada": ("can", "ca"), "australia": ("aus", "au")}
+#: Name tokens that distinguish nothing.
+STOP = ("and", "the", "of", "in", "at", "for", "on", "by", "to", "co", "corp", "inc", "ltd", "pvt", "llc", "llp", "gmbh", "sa", "serv", "tech", "soln")
+#: Largest pools, and the sample of first tokens beyond.
+CAPS = {"first": 200, "prefix": 150, "token": 100, "number": 100, "address": 60}
+FIRST_SAMPLE, TOP_K, LEAST_COSINE, VOCABULARY = 50, 15, 0.35, 25_000
+#: Names of the features, in order.
+FEATURES = ("name_exact", "name_token_exact", "name_jaccard", "name_overlap", "name_common_tokens", "name_lev", "name_ngram2", "name_ngram3", "name_len_diff", "name_len_ratio", "addr_exact", "addr_jaccard", "addr_overlap", "addr_common_tokens", "addr_lev", "addr_ngram3", "addr_len_diff", "num_overlap", "num_common_count", "country_match", "country_conflict", "missing_s1_addr", "missing_c_addr", "is_source2", "is_source3", "composite_sim", "min_sim", "max_sim", "harmonic_sim")
+
+
+def _rules(x: str, table: tuple[tuple[str, str], ...]) -> str:
+    for pattern, short in table:
+        x = f"regexp_replace({x}, '\\b{pattern}\\b', '{short}', 'g')"
     return x
 
 
-_NAME = _rules(r"regexp_replace(regexp_replace(lower(raw_name), '\s*&\s*', ' and ', 'g'), '\s*\+\s*', ' and ', 'g')", NAME_RULES)
-_ALIAS = " ".join(f"when nc in ({', '.join(repr(t) for t in texts)}) then '{name}'" for name, texts in COUNTRIES.items())
+_NAME = _rules(r"regexp_replace(regexp_replace(lower(raw_name), '\s*&\s*', ' and ', 'g'), '\s*\+\s*', ' and ', 'g')", _NAME_RULES)
+_ALIAS = " ".join(f"when nc in ({', '.join(repr(t) for t in texts)}) then '{name}'" for name, texts in _COUNTRIES.items())
 _TOKENS = r"list_filter(string_split_regex({}, '\s+'), lambda t: t <> '')"
 _STOPS = "[" + ", ".join(repr(t) for t in STOP) + "]"
 
 #: n: the record table.
 RECORDS = rf"""with biz as ({BIZ.replace("{part}", "part")}),
 r0 as (select id, source, k, raw_name, raw_address, raw_country, {_TOKENS.format(rf"regexp_replace(regexp_replace({_NAME}, '[^\w\s-]', ' ', 'g'), '[-_]', ' ', 'g')")} name_tokens,
-  {_TOKENS.format(rf"regexp_replace({_rules('lower(raw_address)', ADDRESS_RULES)}, '[^\w\s]', ' ', 'g')")} addr_tokens, regexp_extract_all(lower(raw_address), '\b\d+\b') numeric_tokens,
+  {_TOKENS.format(rf"regexp_replace({_rules('lower(raw_address)', _ADDRESS_RULES)}, '[^\w\s]', ' ', 'g')")} addr_tokens, regexp_extract_all(lower(raw_address), '\b\d+\b') numeric_tokens,
   regexp_replace(regexp_replace(trim(lower(raw_country)), '[^\w\s]', '', 'g'), '\s+', ' ', 'g') nc from biz),
 n as (select id, source, k, raw_name, raw_address, raw_country, array_to_string(name_tokens, ' ') norm_name, name_tokens, array_to_string(addr_tokens, ' ') norm_address, addr_tokens, numeric_tokens, case {_ALIAS} else nc end norm_country from r0),
 s1 as (select * from n where source = 'source1'), t as (select * from n where source <> 'source1'),
@@ -122,7 +207,8 @@ def oracle_sql() -> dict[str, str]:
     s = lambda x: f"array_to_string({x}, ' ') {x}"
     truth_text = f"tl as ({_lists('select s1_id, target_id from truth', 'matched_entity_ids')})"
     spined = f"{n}, sp as (select id s1_id from s1), {truth_text}"
-    blocks = {"exact": "block_exact", "first": "block_first_token", "prefix": "block_prefix3", "token": "block_token", "number": "block_numeric", "address": "block_address"}
+    blocks = {"exact": "block_exact", "first": "block_first_token", "number": "block_numeric", "address": "block_address"}
+    coded = KEYS.replace(BIZ.replace("{part}", "part"), CODED.replace("{part}", "part"), 1)
     return {
         "norm_name": f"{n} select id, norm_name, len(name_tokens)::bigint n_tokens from n",
         "norm_address": f"{n} select id, norm_address from n",
@@ -133,7 +219,11 @@ def oracle_sql() -> dict[str, str]:
         "entity_ids": f"{n} select distinct trim(id) id from n",
         "ground_truth_list": f"{n} select s1.id s1_id, target_id from s1 left join truth on truth.s1_id = s1.id",
         "ground_truth_pairs": f"{n} select s1_id, target_id from truth",
+        "ground_truth_last": f"{n} select s1.id s1_id, target_id from s1 left join truth on truth.s1_id = s1.id",
+        "last_records": f"{n} select id, norm_name, norm_address, norm_country from n",
+        "input_counts": f"{n}, z as (select source as \"table\", count(*) as \"rows\" from n group by 1) select * from z union all select 'targets', count(*) from t union all select 'truth', count(distinct s1_id) from truth",
         **{name: f"{KEYS} select s1_id, target_id from kp where pass = '{p}'" for p, name in blocks.items()},
+        **{name: f"{coded} select s1_id, target_id from kp where pass = '{p}'" for p, name in (("prefix", "block_prefix3"), ("token", "block_token"))},
         "pool_sizes": f"{KEYS} select pass, key, count(*) pool from kt group by all",
         "block_country_filter": f"{KEYS} select s1_id, target_id from c",
         "block_passes": f"{KEYS} select s1_id, target_id, string_agg(pass, ',' order by pass) passes from kp group by all",
@@ -167,6 +257,7 @@ def oracle_sql() -> dict[str, str]:
   cc as (select source1_entity_id s, case when k % 89 = 2 then '[]' else matched_entity_ids end ids from g), e as (select s, unnest(string_split(trim(ids, '[]'), ', ')) x from mm where ids <> '[]'), ce as (select distinct s, unnest(string_split(trim(ids, '[]'), ', ')) x from cc where ids <> '[]'), d as (select distinct s, x from e)
   select 'V4' "check", s id, 'repeated id' detail from mm group by s having count(*) > 1 union all select 'V5', s1_id, 'missing entity' from sp where s1_id not in (select s from mm) union all select distinct 'V5', s, 'unknown entity' from mm where s not in (select s1_id from sp)
   union all select 'V8', s, x from e group by s, x having count(*) > 1 union all select 'V9', s, 'unknown match ' || x from d where x not in (select id from t) union all select 'V9', s, 'no candidate ' || x from d anti join ce using (s, x)""",
+        "validate_summary": f"{n}, z as (select s1.id, count(target_id) k from s1 left join truth on truth.s1_id = s1.id group by 1) select count(*) entities, sum(k)::bigint total_matches, count(*) filter (where k = 0) singletons, count(*) filter (where k > 1) multi_matches from z",
         "score_pair": f"{n}, c as (select s1_id, target_id from truth) select target_id id, round(composite_sim, 6)::double composite_sim, round(probability, 6)::double probability, {THRESHOLD}::double threshold, probability >= {THRESHOLD} is_match from (select *, least(1 / (1 + exp(-10.0 * (composite_sim - 0.58))), 0.999) probability from {_COMPOSITE})",
         "resolve": f"""{TFIDF}, f as (select s1_id, target_id from (select *, row_number() over (partition by s1_id order by target_id) nth from (select s1_id, target_id from c union select s1_id, target_id from nb)) where nth <= 80),
   m as (select s1_id, target_id from {_COMPOSITE.replace(" from c join s1 a on a.id = c.s1_id", " from f c join s1 a on a.id = c.s1_id")} where least(1 / (1 + exp(-10.0 * (composite_sim - 0.58))), 0.999) >= {THRESHOLD}), sp as (select id s1_id from s1) {_lists("select s1_id, target_id from m", "matched_entity_ids")}""",

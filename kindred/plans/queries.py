@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from kindred.functions.similarity import sigmoid_score
 from kindred.operators import blocking, evaluate
-from kindred.operators.features import FEATURES, labelled, pair_features
-from kindred.operators.validate import violations
+from kindred.operators.features import FEATURES, labelled, last_records, pair_features
+from kindred.operators.validate import summary, violations
 from kindred.sources import generator, sinks, tables
 
 from . import fixtures
@@ -25,6 +25,10 @@ def _on_records(f: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda s, d: f(fixtures.biz(s, d))
 
 
+def _block(name: str, records: Callable[[SparkSession, str], DataFrame] = fixtures.biz) -> Query:
+    return lambda s, d: (lambda s1, t: blocking.key_pairs(s1, t, only=name).select("s1_id", "target_id"))(*fixtures.sides(records(s, d)))
+
+
 def _on_sides(f: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
     return lambda s, d: f(*fixtures.sides(fixtures.biz(s, d)))
 
@@ -85,12 +89,28 @@ def broken_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gbt_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     s1, t = fixtures.sides(fixtures.biz(spark, sf_dir))
-    pairs = labelled(pair_features(key_candidates(s1, t), s1, t), fixtures.biz_truth(spark, sf_dir)).persist()
+    pairs = labelled(pair_features(key_candidates(s1, t), s1, t), fixtures.biz_truth(spark, sf_dir))
     train, val = split_entities(spine(s1))
-    model = PairClassifier(rounds=10).fit(pairs.join(train, "s1_id", "left_semi"), pairs.join(val, "s1_id", "left_semi"))
+    held = pairs.persist()
+    try:
+        model = PairClassifier().fit(held.join(train, "s1_id", "left_semi"), held.join(val, "s1_id", "left_semi"))
+    finally:
+        held.unpersist()
     return model.predict_proba(pairs).select("s1_id", "target_id", "label", "prob")
 
 
+def truth_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The truth as lists, a third of the entities with an earlier, wrong list; the place is in row_order."""
+    good = truth_lists(spark, sf_dir).withColumn("row_order", F.lit(2))
+    early = good.where("cast(substring(source1_entity_id, 4, 8) as int) % 3 = 0").withColumn("matched_entity_ids", F.lit("[S9_1, S9_2]")).withColumn("row_order", F.lit(1))
+    return tables.ground_truth(good.unionByName(early).orderBy(F.xxhash64("source1_entity_id", "row_order")))
+
+
+def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = fixtures.biz(spark, sf_dir)
+    return evaluate.input_counts(*[n.where(f"source = 'source{k}'") for k in (1, 2, 3)], fixtures.biz_truth(spark, sf_dir))
+
+
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """True pairs as JSON requests."""
     raw = fixtures.biz_raw(spark, sf_dir)
@@ -110,7 +130,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     text = lambda c: F.array_join(c, " ").alias(c)
-    blocks = {"exact": "block_exact", "first": "block_first_token", "prefix": "block_prefix3", "token": "block_token", "number": "block_numeric", "address": "block_address"}
+    blocks = {"exact": "block_exact", "first": "block_first_token", "number": "block_numeric", "address": "block_address"}
     return {
         "norm_name": _on_records(lambda n: n.select("id", "norm_name", F.size("name_tokens").cast("long").alias("n_tokens"))),
         "norm_address": _on_records(lambda n: n.select("id", "norm_address")),
@@ -122,7 +142,11 @@ def queries() -> dict[str, Query]:
         "entity_ids": lambda s, d: tables.entity_ids(fixtures.biz_raw(s, d).select("id")),
         "ground_truth_list": lambda s, d: tables.ground_truth(truth_lists(s, d)),
         "ground_truth_pairs": lambda s, d: tables.ground_truth(fixtures.biz_truth(s, d)),
-        **{name: _on_sides(lambda s1, t, p=p: blocking.key_pairs(s1, t, only=p).select("s1_id", "target_id")) for p, name in blocks.items()},
+        "ground_truth_last": truth_twice,
+        "last_records": lambda s, d: last_records(fixtures.repeated(s, d)).select("id", "r.norm_name", "r.norm_address", "r.norm_country"),
+        "input_counts": counts,
+        **{name: _block(p) for p, name in blocks.items()},
+        **{name: _block(p, fixtures.coded) for p, name in (("prefix", "block_prefix3"), ("token", "block_token"))},
         "pool_sizes": _on_sides(lambda s1, t: blocking.pool_sizes(t)),
         "block_country_filter": _on_sides(key_candidates),
         "block_passes": _on_sides(lambda s1, t: blocking.key_pairs(s1, t).select("s1_id", "target_id", F.array_join("passes", ",").alias("passes"))),
@@ -153,6 +177,7 @@ def queries() -> dict[str, Query]:
             fixtures.biz_raw(s, d).where("source = 'source1'").select("id", F.col("raw_name").alias("name"), F.col("raw_address").alias("address"), F.col("raw_country").alias("country")), truth_lists(s, d)
         ).withColumn("matches", F.array_join("matches", ",")),
         "validate_violations": broken_results,
+        "validate_summary": lambda s, d: summary(truth_lists(s, d)),
         "score_pair": lambda s, d: score_pairs(requests(s, d), THRESHOLD).select("id", *[F.round(c, 6).alias(c) for c in ("composite_sim", "probability", "threshold")], "is_match"),
         "split_entities": lambda s, d: (lambda a, b: a.withColumn("side", F.lit("train")).unionByName(b.withColumn("side", F.lit("validation"))))(*split_entities(_spine(s, d))),
         "synthetic_noise": lambda s, d: generator.noisy_records(fixtures.biz_raw(s, d).where("source = 'source1'").select(F.col("k").alias("key"), F.col("raw_name").alias("name"), F.col("raw_address").alias("address"), F.col("raw_country").alias("country")), 42),

@@ -2,16 +2,27 @@ from __future__ import annotations
 
 import difflib
 import json
+import math
+import os
 import random
+import re
+import struct
+import threading
+import unicodedata
+import urllib.error
+import urllib.request
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
+from kindred import cli, service
 from kindred.functions import normalize as N
 from kindred.functions import similarity as S
 from kindred.operators import blocking, evaluate
 from kindred.operators.features import FEATURES, pair_features
 from kindred.operators.validate import is_valid, validate_files, violations
+from kindred.plans import oracles, queries
 from kindred.plans.classifier import PairClassifier, split_entities
 from kindred.plans.resolve import resolve_by_rule, results_view, run_pipeline, score_pairs, spine
 from kindred.sources import generator, sinks, tables
@@ -210,16 +221,205 @@ def test_files_and_whole_run(spark, tmp_path):
         sinks.write_tsv(sinks.matching_output(ids, parts["truth"]), f"{tmp_path}/{folder}/{folder}_ground_truth.tsv")
         assert parts["source3"].where("business_name like '% Intl'").count() >= 5
     out = run_pipeline(spark, f"{tmp_path}/train", f"{tmp_path}/test", f"{tmp_path}/out")
-    assert out["validation_passed"] is True and out["candidate_recall"] > 0.9 and out["metrics"]["f05"] > 0.8
+    assert out["validation_passed"] is True and out["candidate_recall"] > 0.9 and out["metrics"]["val_f05"] > 0.8
+    assert out["counts"] == {"train_source1": 72, "train_truth": 72, "test_source1": 72} | {k: v for k, v in out["counts"].items() if "1" not in k and "truth" not in k} and out["counts"]["test_targets"] == out["counts"]["test_source2"] + out["counts"]["test_source3"]
+    for name in ("matching_results", "candidate_pairs"):  # one file, one row an entity, in input order
+        with open(f"{tmp_path}/out/{name}.tsv") as f:
+            written = [line.split("\t")[0] for line in f][1:]
+        assert written == [r.entity_id for r in tables.read_tsv(spark, f"{tmp_path}/test/test_source1.tsv", order=True).orderBy("row_order").collect()]
     truth = tables.ground_truth(tables.read_tsv(spark, f"{tmp_path}/test/test_ground_truth.tsv")).where("target_id is not null")
     found = tables.ground_truth(tables.read_tsv(spark, f"{tmp_path}/out/matching_results.tsv")).where("target_id is not null")
     assert found.intersect(truth).count() > 0.8 * max(found.count(), truth.count())
     assert validate_files(spark, f"{tmp_path}/none", f"{tmp_path}/out/candidate_pairs.tsv", f"{tmp_path}/test").first().check == "V1"
     report = tables.read_report(spark, f"{tmp_path}/out/experiment_report.json").first()
-    assert report.total_s1 == 72 and len(report.top_features) == 5 and len(report.threshold_curve) == 20 and tables.read_report(spark, f"{tmp_path}/none.json").count() == 0
+    assert report.test_s1_count == 72 and len(report.top_features) == 5 and len(report.threshold_curve) == 20
+    with open(f"{tmp_path}/out/experiment_report.json") as f:
+        plain = json.load(f)
+    assert list(plain) == ["val_candidate_recall", "best_threshold", "val_precision", "val_recall", "val_f05", "val_singleton_accuracy", "test_s1_count", "test_resolved_matches", "test_singletons", "top_features", "threshold_curve"]
+    assert list(plain["threshold_curve"][0]) == ["threshold", "tp", "fp", "fn", "tn", "precision", "recall", "f1", "f05"] and isinstance(plain["top_features"][0][1], float)
+    (tmp_path / "broken.json").write_text("{broken")
+    for path in ("none.json", "broken.json"):
+        r = tables.read_report(spark, f"{tmp_path}/{path}").first()
+        assert (r.val_candidate_recall, r.best_threshold, r.val_precision, r.val_recall, r.val_f05, r.val_singleton_accuracy) == (0.968, 0.62, 0.965, 0.88, 0.941, 1.0) and r.threshold_curve is None
+    service_answers(spark, tmp_path, report)
+    cli_answers(spark, tmp_path)
     assert tables.read_tsv_or_empty(spark, f"{tmp_path}/none.tsv", ("a", "b")).columns == ["a", "b"]
 
 
+def service_answers(spark, tmp_path, report):
+    s = service.Service(spark, f"{tmp_path}/train", f"{tmp_path}/test", f"{tmp_path}/out")
+    status, answer = s.handle("GET", "/api/results?x=1")
+    assert status == 200 and len(answer["results"]) == 72 and answer["report"]["best_threshold"] == report.best_threshold
+    assert set(answer["results"][0]) == {"source1_entity_id", "name", "address", "country", "matches"} and any(r["matches"] for r in answer["results"])
+    body = json.dumps({"entity_a": {"name": "Acme Global Corp", "address": "1 Main St", "country": "US"}, "entity_b": {"name": "Acme Global Corporation", "address": "1 Main Street", "country": "USA"}}).encode()
+    with service.server(s, 0) as http:
+        threading.Thread(target=http.serve_forever, daemon=True).start()
+        url = f"http://127.0.0.1:{http.server_address[1]}/api"
+        with urllib.request.urlopen(urllib.request.Request(f"{url}/test-match", body), timeout=120) as r:
+            match = json.load(r)
+        with pytest.raises(urllib.error.HTTPError) as e:
+            urllib.request.urlopen(urllib.request.Request(f"{url}/test-match", b"no json"), timeout=120)
+        http.shutdown()
+    assert list(match["features"]) == list(FEATURES) and match["is_match"] and match["threshold"] == report.best_threshold and abs(match["probability"] - 1 / (1 + math.exp(-4.2))) < 1e-9
+    assert e.value.code == 400 and s.handle("GET", "/x")[0] == 404
+    empty = service.Service(spark, "", f"{tmp_path}/test", f"{tmp_path}/nothing").handle("GET", "/api/results")[1]
+    assert empty["report"]["best_threshold"] == 0.62 and len(empty["results"]) == 72 and not any(r["matches"] for r in empty["results"])
+    assert service.Service(spark, "/none", "/none", f"{tmp_path}/o2").handle("POST", "/api/run-pipeline")[0] == 500
+
+
+def cli_answers(spark, tmp_path):
+    files = ["--matching", f"{tmp_path}/out/matching_results.tsv", "--candidate", f"{tmp_path}/out/candidate_pairs.tsv", "--test-dir", f"{tmp_path}/test"]
+    assert cli.main(["validate", *files]) == 0
+    lines = (tmp_path / "out/matching_results.tsv").read_text().splitlines()
+    (tmp_path / "short.tsv").write_text("\n".join(lines[:-1]))
+    assert cli.main(["validate", "--matching", f"{tmp_path}/short.tsv", *files[2:]]) == 1
+    args = cli.parser().parse_args(["run", "--random-seed", "7", "--skip-validation"])
+    assert (args.train_dir, args.test_dir, args.output_dir, args.random_seed, args.skip_validation) == ("dataset/train", "dataset/test", "output", 7, True)
+
+
+def test_last_row_of_a_repeated_id_wins(spark):
+    rows = [("a", "[z, y]"), ("b", "[x]"), ("a", "[b]"), ("b", None)]
+    lists = spark.createDataFrame(rows, "id string, matched_ids string").coalesce(1)
+    want = {("a", "b"), ("b", None)}
+    assert {(r.s1_id, r.target_id) for r in tables.ground_truth(lists).collect()} == want
+    placed = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "id string, matched_ids string, row_order long").repartition(3)
+    assert {(r.s1_id, r.target_id) for r in tables.ground_truth(placed).collect()} == want
+    records = spark.createDataFrame([("1", "first name", 1), ("1", "second name", 2), ("2", "other", 3)], "id string, name string, row_order long")
+    a = N.preprocess(records, "source1").repartition(3)
+    t = N.preprocess(spark.createDataFrame([("9", "second name", 5), ("9", "none", 4)], "id string, name string, row_order long"), "source2").repartition(3)
+    pairs = spark.createDataFrame([("1", "9"), ("2", "9"), ("1", "x")], "s1_id string, target_id string")
+    got = {(r.s1_id, r.target_id): r.name_exact for r in pair_features(pairs, a, t).collect()}
+    assert got == {("1", "9"): 1.0, ("2", "9"): 0.0}
+    assert blocking.compatible(pairs, a, t).count() == 2
+
+
+def test_blocker(sample):
+    s1, t = sample
+    with pytest.raises(ValueError):
+        blocking.MultiPassBlocker().block_entity(s1)
+    b = blocking.MultiPassBlocker(max_candidates_per_entity=80).fit_targets(t)
+    lists, pairs = b.generate_candidate_pairs(s1)
+    assert {(r.s1_id, r.target_id) for r in pairs.collect()} == pairs_of(GOLDEN)
+    assert {r.s1_id: r.target_ids for r in lists.collect()} == {f"S1_TST_{k:04d}": sorted(map(target, v.split())) for k, v in GOLDEN.items()}
+    one = s1.where("id = 'S1_TST_0002'")
+    assert {r.target_id for r in b.block_entity(one).collect()} == {target("2.2"), target("3.1")}
+
+
+RULES = {
+    "corporation": "corp", "corp": "corp", "incorporated": "inc", "inc": "inc", "limited": "ltd", "ltd": "ltd", "private": "pvt", "pvt": "pvt", "pte": "pvt", "llc": "llc", "l.l.c.": "llc", "llp": "llp", "l.l.p.": "llp", "company": "co", "co": "co",
+    "gmbh": "gmbh", "sa": "sa", "s.a": "sa", "sarl": "sarl", "bv": "bv", "b.v": "bv", "plc": "plc", "enterprises": "ent", "technologies": "tech", "technology": "tech", "tech": "tech", "solutions": "soln", "solution": "soln", "services": "serv",
+    "service": "serv", "international": "intl", "intl": "intl", "group": "grp", "holdings": "hldg", "l.l.c": "llc", "corp.x": "corpx",
+}
+ADDRESSES = {
+    "street": "st", "st": "st", "road": "rd", "rd": "rd", "avenue": "ave", "ave": "ave", "boulevard": "blvd", "blvd": "blvd", "drive": "dr", "dr": "dr", "lane": "ln", "ln": "ln", "floor": "fl", "flr": "fl", "fl": "fl", "suite": "ste", "ste": "ste",
+    "apartment": "apt", "apt": "apt", "building": "bldg", "bldg": "bldg", "highway": "hwy", "hwy": "hwy", "parkway": "pkwy", "pkwy": "pkwy", "court": "ct", "ct": "ct", "place": "pl", "pl": "pl", "square": "sq", "sq": "sq", "circle": "cir", "cir": "cir",
+    "number": "no", "num": "no", "no": "no", "p.o. box": "pobox", "po box": "pobox", "p o box": "pobox", "post  office box": "pobox",
+}
+
+
+def test_every_rule_has_its_fixed_text(spark):
+    rows = [(f"n{i}", f"Acme {w} x", "") for i, w in enumerate(RULES)] + [(f"a{i}", "", f"7 {w.upper()} x") for i, w in enumerate(ADDRESSES)]
+    got = {r.id: r.norm_name or r.norm_address for r in N.preprocess(spark.createDataFrame(rows, "id string, name string, address string"), "s").collect()}
+    assert {w: got[f"n{i}"] for i, w in enumerate(RULES)} == {w: f"acme {x} x" for w, x in (RULES | {"l.l.c.": "llc", "l.l.p.": "llp"}).items()}
+    assert {w: got[f"a{i}"] for i, w in enumerate(ADDRESSES)} == {w: f"7 {x} x" for w, x in ADDRESSES.items()}
+
+
+def plain_fold(text):
+    return "".join(c for c in unicodedata.normalize("NFKD", text or "") if not unicodedata.combining(c))
+
+
+def plain_name(text):
+    x = re.sub(r"\s*\+\s*", " and ", re.sub(r"\s*&\s*", " and ", plain_fold(text).lower()))
+    for pattern, short in oracles._NAME_RULES:
+        x = re.sub(rf"\b{pattern}\b", short, x)
+    return " ".join(re.sub(r"[-_]", " ", re.sub(r"[^\w\s-]", " ", x)).split())
+
+
+def plain_address(text):
+    x = plain_fold(text).lower()
+    for pattern, short in oracles._ADDRESS_RULES:
+        x = re.sub(rf"\b{pattern}\b", short, x)
+    return " ".join(re.sub(r"[^\w\s]", " ", x).split())
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables")
+def test_unicode_fold_of_whole_texts_equals_plain_python(spark):
+    texts = {f"S{r.doc_id}": r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    got = queries.queries()["unicode_fold"](spark, "/root/testdata/sf0.001").collect()
+    assert len(got) == len(texts) > 100
+    for r in got:
+        text = texts[f"S{int(r.id[3:])}"]
+        assert (r.norm_name, r.norm_address) == (plain_name(text), plain_address(text)), r.id
+    assert sum(not (t or "").isascii() for t in texts.values()) > 20
+
+
+def spark_hash(*values):
+    """xxhash64 of a row: each value is hashed with the hash so far as seed."""
+    xxhash = pytest.importorskip("xxhash")
+    h = 42
+    for v in values:
+        data = v.encode() if isinstance(v, str) else struct.pack("<i" if isinstance(v, Int) else "<q", v)
+        h = xxhash.xxh64_intdigest(data, h & (2**64 - 1))
+    return h - 2**64 if h >= 2**63 else h
+
+
+class Int(int):
+    """A 32-bit integer."""
+
+
+def test_split_equals_plain_hashes(spark):
+    ids = [f"S1_{i:08d}" for i in range(500)]
+    train, val = split_entities(spark.createDataFrame([(i,) for i in ids], "s1_id string"))
+    assert {r.s1_id for r in val.collect()} == {i for i in ids if spark_hash(i, Int(42)) % 5 == 0}
+    assert {r.s1_id for r in train.collect()} == {i for i in ids if spark_hash(i, Int(42)) % 5}
+
+
+def test_noise_equals_plain_python(spark):
+    rows = [(i, *SOURCE1.split("\n")[i % 12].split("|")) for i in range(400)]
+
+    def draw(*key, what):
+        return spark_hash(*key, Int(42), what) % 2**30 / 2**30
+
+    def short(text, pairs):
+        for a, b in pairs:
+            text = text.replace(a, b)
+        return text
+
+    want = {}
+    for k, name, address, country in rows:
+        m = draw(k, what="plan")
+        for source in [] if m < 0.2 else [2] if m < 0.6 else [3] if m < 0.8 else [2, 3]:
+            key = (k, Int(source))
+            words, r = name.split(), draw(*key, what="name")
+            n = name
+            if r < 0.25:
+                n = short(name, (("Corporation", "Corp"), ("Incorporated", "Inc"), ("Limited", "Ltd"), ("Private Limited", "Pvt. Ltd."), ("LLC", "L.L.C.")))
+            elif r < 0.45:
+                n = name.replace(" & ", " and ") if " & " in name else name.replace(" and ", " & ")
+            elif r < 0.60 and len(words) > 2:
+                at = math.floor(draw(*key, what="word") * (len(words) - 2)) + 1
+                n = " ".join(w for i, w in enumerate(words) if i != at)
+            elif r < 0.75 and len(name) > 4:
+                at = math.floor(draw(*key, what="letter") * max(len(name) - 5, 1)) + 2
+                n = name[:at] + name[at].lower() + name[at + 1 :]
+            r, parts = draw(*key, what="address"), address.split(",")
+            a = address
+            if r < 0.30:
+                a = short(address, (("Street", "St."), ("Avenue", "Ave"), ("Boulevard", "Blvd"), ("Road", "Rd"), ("Suite", "Ste"), ("Floor", "Fl")))
+            elif r < 0.55:
+                a = ",".join(parts[:1] + parts[2:]) if len(parts) > 2 else address
+            elif r < 0.70:
+                a = address.lower()
+            want[k, source] = (n, a, "" if draw(*key, what="country") < 0.1 else country)
+    got = generator.noisy_records(spark.createDataFrame(rows, "key long, name string, address string, country string"), 42).collect()
+    assert {(r.key, r.source): (r.name, r.address, r.country) for r in got} == want and len(want) > 300
+
+
+def test_balanced_weights():
+    balance = Row(positives=10, negatives=90, scale_pos=5.0)
+    assert PairClassifier()._weight(balance) == 5.0 and PairClassifier(balanced=True)._weight(balance) == 9.0
+
+
 def test_classifier(spark, sample, tmp_path):
     s1, t = sample
     good = spark.createDataFrame(sorted(pairs_of(MATCHES)), "s1_id string, target_id string").withColumn("y", F.lit(1))

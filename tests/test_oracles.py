@@ -10,7 +10,7 @@ import pytest
 from kindred.plans import oracles, queries
 
 SF = "/root/testdata/sf0.001"
-SOME = ("preprocess", "ground_truth_list", "block_passes", "pool_sizes", "block_tfidf_topk", "block_union_cap", "feat_all", "threshold_curve", "entity_metrics", "candidate_output", "validate_violations", "score_pair", "resolve")
+SOME = ("preprocess", "ground_truth_list", "ground_truth_last", "last_records", "input_counts", "block_prefix3", "block_token", "block_passes", "pool_sizes", "block_tfidf_topk", "block_union_cap", "feat_all", "threshold_curve", "entity_metrics", "candidate_output", "validate_violations", "validate_summary", "score_pair", "resolve")
 
 
 def rows(df):
@@ -26,7 +26,7 @@ def test_query(spark, name):
     con = duckdb.connect()
     con.sql(f"create view part as select * from '{SF}/part.parquet'")
     got, want = queries.queries()[name](spark, SF).toPandas(), con.sql(oracles.oracle_sql()[name]).df()
-    assert sorted(got.columns) == sorted(want.columns) and rows(got) == rows(want)
+    assert sorted(got.columns) == sorted(want.columns) and rows(got) == rows(want) and len(got)
 
 
 def test_every_oracle_has_a_query():
