@@ -9,7 +9,6 @@ import hashlib
 import os
 import sys
 import tempfile
-import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -20,8 +19,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from kindred.scratch import clean, cut, scratch_dir
+
+__all__ = ["clean", "cut", "scratch_dir"]
+
 #: Arrow batches are bounded in bytes as well as rows, so that a batch of very long texts stays small.
-BATCH_BYTES = "4m"
+BATCH_BYTES = "2m"
 BATCH_ROWS = "2000"
 
 #: A-Z lower-cased; everything but digits, letters and non-ASCII bytes becomes a space.
@@ -50,6 +53,7 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], sch
         for b in batches:
             if b.num_rows:
                 yield fn(b)
+                release()
 
     return map_batches(df, run, schema)
 
@@ -98,12 +102,15 @@ class Digests(dict):
     def __missing__(self, key: bytes) -> int:
         h = int.from_bytes(hashlib.blake2b(key, digest_size=8).digest(), "little")
         if len(self) >= self.MOST or self.size >= self.MOST_BYTES:
-            self.clear()
-            self.size = 0
+            self.forget()
         self.size += len(key)
         self[key] = h
         return h
 
+    def forget(self) -> None:
+        self.clear()
+        self.size = 0
+
     def of(self, keys: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, keys), np.uint64, len(keys))
 
@@ -128,53 +135,3 @@ def ship(spark: SparkSession) -> None:
         spark.sparkContext.addPyFile(str(path))
         sys.path[:] = at  # the driver has the package already
     _shipped.add(app)
-
-
-_own: list[str] = []
-_folders: set[str] = set()
-
-
-def scratch_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: spark.checkpoint.dir. Where it is unset, a folder of this machine, but only if the executors are threads of this process (tests)."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        master = spark.sparkContext.master
-        if master.partition("[")[0] != "local":
-            raise ValueError(f"spark.checkpoint.dir must name a folder that the driver and all executors share (master: {master})")
-        if not _own:
-            holder = tempfile.TemporaryDirectory(prefix="kindred-")
-            atexit.register(holder.cleanup)
-            _own.append(f"file://{holder.name}")
-        shared = _own[0]
-    return shared.rstrip("/")
-
-
-def cut(df: DataFrame, by: str | None = None) -> DataFrame:
-    """Writes df as a table in the shared folder and reads it back: lineage ends here, and a lost executor loses nothing. by: a column to write one folder of files for each value of.
-
-    All tables of a process lie in one folder, which clean() removes; at the latest it goes when the process ends.
-    """
-    spark = df.sparkSession
-    folder = f"{scratch_dir(spark)}/kindred/{spark.sparkContext.applicationId}-{os.getpid()}"
-    if folder not in _folders:
-        _folders.add(folder)
-        atexit.register(_remove, folder)
-    path = f"{folder}/{uuid.uuid4().hex}"
-    writer = df.write.partitionBy(by) if by else df.write
-    writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def _remove(folder: str) -> None:
-    from pyspark import SparkContext
-
-    with contextlib.suppress(Exception):  # the JVM may have ended before
-        path = (jvm := SparkContext._gateway.jvm).org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(path, True)
-    _folders.discard(folder)
-
-
-def clean() -> None:
-    """Removes the tables that this process has cut. DataFrames that read them can't be used after that."""
-    for folder in list(_folders):
-        _remove(folder)

@@ -29,7 +29,7 @@ from . import base
 
 WINDOW = 10
 #: Bytes of text whose words are held at once (a longer text alone), and words in a suffix array; arrays share the words of a window less one.
-SHARD_BYTES, SHARD_WORDS = 4 << 20, 1 << 20
+SHARD_BYTES, SHARD_WORDS = 1 << 20, 1 << 18
 BLOCK_BYTES = 16 << 20
 
 MATCHES = "array<struct<item_id: bigint, start: bigint, n_words: bigint, item_start: bigint>>"

@@ -230,6 +230,7 @@ def _emit(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBa
                     if more.any():
                         e = np.unique(np.stack([o[more], first[more]], 1), axis=0)
                         yield _rows(EDGE, _spread(e[:, 0]), np.ascontiguousarray(e[:, 0]), np.ascontiguousarray(e[:, 1]))
+    _digests.forget()  # the worker goes on to other tasks
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -351,6 +352,7 @@ def _verify(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.Record
             texts.append(text)
     if (r := done()).num_rows:
         yield r
+    _digests.forget()
 
 
 def _compare(tasks: DataFrame, rule: Rule) -> DataFrame:
