@@ -49,8 +49,10 @@ def _remove(folder: str) -> None:
     from pyspark import SparkContext
 
     with contextlib.suppress(Exception):  # the JVM may have ended before
-        path = (jvm := SparkContext._gateway.jvm).org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(path, True)
+        sc, jvm = SparkContext._active_spark_context, SparkContext._gateway.jvm
+        conf = sc._jsc.hadoopConfiguration() if sc and sc._jsc else jvm.org.apache.hadoop.conf.Configuration()
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
     _folders.discard(folder)
 
 
