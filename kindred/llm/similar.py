@@ -372,7 +372,7 @@ def _open(sets: DataFrame, links: DataFrame) -> DataFrame:
     named = sets.select("near", "sid").join(classes, "sid", "left").select("near", "sid", F.coalesce("label", "sid").alias("label"))
     sizes = named.groupBy("near", "label").agg(F.count("*").alias("n"))
     several = sizes.groupBy("near").agg(F.count("*").alias("classes"), F.sum("n").alias("all"), F.max(F.struct("n", "label")).alias("top")).where("classes > 1")
-    return named.join(several.select("near", "classes", "all", F.col("top.n").alias("n"), F.col("top.label").alias("top")), "near")
+    return named.join(base.cut(several.select("near", "classes", "all", F.col("top.n").alias("n"), F.col("top.label").alias("top"))), "near")
 
 
 def _links(texts: DataFrame, blocks: tuple[int, int, int], rule: Rule) -> DataFrame:
@@ -416,7 +416,7 @@ def link_documents(documents: DataFrame, blocks: tuple[int, int, int] = BLOCKS,
     docs = met.where(f"kind = {DOC}").select(F.col("a").alias("doc_id"), F.col("b").alias("sid"), F.col("n").alias("n_shingles"))
     reps = base.cut(docs.groupBy("sid").agg(F.min("doc_id").alias("rep")))
     near = base.cut(components(met.where(f"kind = {EDGE}").select("a", "b")))
-    many = near.groupBy("component").agg(F.count("*").alias("n"))
+    many = base.cut(near.groupBy("component").agg(F.count("*").alias("n")))  # written, so that its size is known: where it is small, no component meets in one task
     members = near.join(many, "component").select(F.col("node").alias("sid"), F.col("component").alias("near"), "n").join(reps, "sid").withColumnRenamed("rep", "doc_id")
     links = _links(base.cut(whole.join(members, "doc_id").select("near", "n", "sid", "text")), blocks, rule)
     classes = components(links).select(F.col("node").alias("sid"), "component")
