@@ -36,12 +36,12 @@ NS = WS[:1] + "^" + WS[1:]
 PRETOKEN = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^\p{{L}}\p{{N}}{WS[1:-1]}]+|{WS}+(?!{NS})|{WS}+")
 #: A space between white space, or at the end after white space: its run crosses pieces.
 CROSSING = regex.compile(rf"\x20(?<={WS}\x20)(?={WS}|\Z)")
-CACHE = 300_000
+CACHE = 500_000
 #: Punctuation that is a pre-token of its own after letters.
 MARKS = frozenset(",.;:!?")
 #: Pre-tokens up to so many bytes are encoded in blocks.
 WIDE = 128
-SLICE = 500_000
+SLICE = 1_000_000
 NONE = np.int32(2**31 - 1)
 
 
