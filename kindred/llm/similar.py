@@ -403,8 +403,10 @@ def _links(texts: DataFrame, blocks: tuple[int, int, int], rule: Rule) -> DataFr
     other = F.col("first") + F.pmod(hashed, F.col("others")).cast("int")
     of_top = F.transform(upto(F.col("first"), F.col("others")), lambda o: pair(mine, o))
     of_rest = F.transform(F.filter(upto(F.lit(0), F.col("first") + F.col("others")), lambda o: o != other), lambda o: pair(other, o))
-    tasks = left.select("sid", "label", F.explode(F.when(F.col("label") == F.col("top"), of_top).otherwise(of_rest)).alias("p")).select("sid", "label", "p.i", "p.j")
-    return base.cut(found.unionByName(_compare(texts.join(tasks, "sid"), rule)))
+    # joined first, multiplied after: what is multiplied below the join counts as small as before, and would be broadcast
+    both = texts.join(left.select("sid", "label", "top", "first", "others"), "sid")
+    tasks = both.select("near", "sid", "label", "text", F.explode(F.when(F.col("label") == F.col("top"), of_top).otherwise(of_rest)).alias("p")).select("near", "p.i", "p.j", "sid", "label", "text")
+    return base.cut(found.unionByName(_compare(tasks, rule)))
 
 
 def link_documents(documents: DataFrame, blocks: tuple[int, int, int] = BLOCKS, rule: Rule = RULE) -> DataFrame:

@@ -194,3 +194,17 @@ def test_components(spark, monkeypatch, part):
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: root(x) for x in top}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_tasks_are_multiplied_above_the_join(make, monkeypatch):
+    """Nothing that is broadcast has been multiplied by numbers of blocks: its size is that of a table on disk."""
+    rng = random.Random(29)
+    plans = []
+    compare = similar._compare
+    monkeypatch.setattr(similar, "_compare", lambda tasks, rule: plans.append(tasks._jdf.queryExecution().optimizedPlan().toString()) or compare(tasks, rule))
+    rows = [r for k in range(6) for r in family(rng, 100 * k, 12, 60, 9)]
+    similar.link_documents(make(rows), blocks=(3, 2, 2)).collect()
+    last = plans[-1].split("\n")
+    assert len(plans) == 3 and any("Generate" in x for x in last)
+    join = min(i for i, x in enumerate(last) if "Join" in x)
+    assert min(i for i, x in enumerate(last) if "Generate" in x) < join and not any("sequence(" in x for x in last[join:])
