@@ -437,6 +437,45 @@ def test_substrings_equal_brute_force(make, corpus, monkeypatch, seen):
     assert got[882][0].text == "" and got[881][0].text == "own words" and substrings.digest(make([])).count() == 0
 
 
+@pytest.mark.parametrize("n", [51, 7, 1])
+def test_passages_equal_brute_force(make, corpus, n):
+    """Passages are found inside lines and across them; short lines that repeat stay."""
+    p = [f"p{i}" for i in range(60)]
+    docs = [*corpus, (800, "before it " + " ".join(p[:55]) + " and after", "en", "s"), (801, "other\n" + "\n".join(p).upper() + "\nend", "en", "s"), (802, " ".join(p[:50]), "en", "s")]
+    docs += [(810, "a short line\nown text 810", "en", "s"), (811, "a short line\nown text 811", "en", "s"), (820, "x \n".join(p) + " y " + "x ".join(p), "en", "s"), (830, "ein Wort", "de", "s"), (830, "w\u00e4hrend " * 70, "de", "s")]
+    got = by_id(substrings.remove_passages(make(docs), n))
+    word = re.compile(r"[^\x20\x09-\x0D]+")
+    hashes = {t: r.of for t, r in ((r.text, r) for r in make(docs).selectExpr("text", "xxhash64(text) of").collect())}
+    first = {}
+    for i, t in sorted({(i, t) for i, t, _, _ in docs if i is not None and t is not None}, key=lambda x: (x[0], hashes[x[1]])):
+        w = word.findall(t.translate(LOWER))
+        for j in range(len(w) - n + 1):
+            first.setdefault(hash(tuple(w[j : j + n])), (i, t, j))
+    for i, t, _, _ in docs:
+        if i is None:
+            continue
+        at = [m.span() for m in word.finditer(t or "")]
+        w, gone = word.findall((t or "").translate(LOWER)), set()
+        for j in range(len(w) - n + 1):
+            f = first[hash(tuple(w[j : j + n]))]
+            if f[:2] != (i, t) or j >= f[2] + n:
+                gone.update(range(j, j + n))
+        spans = []
+        for j in sorted(gone):
+            if j - 1 in gone:
+                spans[-1][1] = at[j][1]
+            else:
+                spans.append([*at[j]])
+        kept, k = "", 0
+        for a, z in spans:
+            kept, k = kept + t[k:a], z
+        want = (None if t is None else kept + t[k:], [tuple(s) for s in spans], len(w), len(spans), sum(z - a for a, z in spans))
+        assert want in [(r.text, [tuple(s) for s in r.spans], r.n_words, r.n_removed, r.n_removed_chars) for r in got[i]], (i, want[1:])
+    if n == 51:
+        assert [got[i][0].n_removed for i in (800, 801, 802, 810, 811, 820)] == [0, 1, 0, 0, 0, 1] and got[801][0].text == "other\n\n" + "\n".join(p[55:]).upper() + "\nend"
+    assert substrings.remove_passages(make([])).count() == 0
+
+
 # op4
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body class="has-sidebar"><header><a href="/">Home</a></header><nav><ul><li><a href=x>Menu one</a></li></ul></nav>
