@@ -259,6 +259,6 @@ def oracle_sql() -> dict[str, str]:
   union all select 'V8', s, x from e group by s, x having count(*) > 1 union all select 'V9', s, 'unknown match ' || x from d where x not in (select id from t) union all select 'V9', s, 'no candidate ' || x from d anti join ce using (s, x)""",
         "validate_summary": f"{n}, z as (select s1.id, count(target_id) k from s1 left join truth on truth.s1_id = s1.id group by 1) select count(*) entities, sum(k)::bigint total_matches, count(*) filter (where k = 0) singletons, count(*) filter (where k > 1) multi_matches from z",
         "score_pair": f"{n}, c as (select s1_id, target_id from truth) select target_id id, round(composite_sim, 6)::double composite_sim, round(probability, 6)::double probability, {THRESHOLD}::double threshold, probability >= {THRESHOLD} is_match from (select *, least(1 / (1 + exp(-10.0 * (composite_sim - 0.58))), 0.999) probability from {_COMPOSITE})",
-        "resolve": f"""{TFIDF}, f as (select s1_id, target_id from (select *, row_number() over (partition by s1_id order by target_id) nth from (select s1_id, target_id from c union select s1_id, target_id from nb)) where nth <= 80),
+        "resolve": f"""{TFIDF}, f as (select s1_id, target_id from c union select s1_id, target_id from nb),
   m as (select s1_id, target_id from {_COMPOSITE.replace(" from c join s1 a on a.id = c.s1_id", " from f c join s1 a on a.id = c.s1_id")} where least(1 / (1 + exp(-10.0 * (composite_sim - 0.58))), 0.999) >= {THRESHOLD}), sp as (select id s1_id from s1) {_lists("select s1_id, target_id from m", "matched_entity_ids")}""",
     }
