@@ -355,6 +355,14 @@ def _verify(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.Record
     _digests.forget()
 
 
+def _written(df: DataFrame) -> DataFrame:
+    """base.cut(); the shuffle files of the step, which nothing reads any more, go: otherwise keys and each sending of the texts would lie on disk together."""
+    out = base.cut(df)
+    del df
+    base.release_shuffles(out.sparkSession)
+    return out
+
+
 def _compare(tasks: DataFrame, rule: Rule) -> DataFrame:
     """The links (a, b) among the sets of each task. tasks: near, i, j, sid, label, text."""
     dealt = tasks.select("near", "i", "j", "sid", "label", "text").repartition("near", "i", "j").sortWithinPartitions("near", "i", "j")
@@ -379,7 +387,7 @@ def _links(texts: DataFrame, blocks: tuple[int, int, int], rule: Rule) -> DataFr
     """Links that connect the same sets as all links do. texts: near, n (sets of the neighbourhood), sid, text."""
     whole, part, most = blocks
     own = F.when(F.col("n") > whole, _dealt(F.col("n"), part)).otherwise(0)
-    found = base.cut(_compare(texts.select("near", own.alias("i"), F.lit(0).alias("j"), "sid", F.col("sid").alias("label"), "text"), rule))
+    found = _written(_compare(texts.select("near", own.alias("i"), F.lit(0).alias("j"), "sid", F.col("sid").alias("label"), "text"), rule))
     large = base.cut(texts.where(F.col("n") > whole).select("near", "sid"))
     if large.isEmpty():
         return found
@@ -389,7 +397,7 @@ def _links(texts: DataFrame, blocks: tuple[int, int, int], rule: Rule) -> DataFr
     # two sets of each class
     ends = left.groupBy("near", "label").agg(F.max("classes").alias("classes"), F.array_distinct(F.array(F.min("sid"), F.max("sid"))).alias("sids"))
     ends = ends.select("near", "label", F.explode("sids").alias("sid"), "classes").withColumn("i", _dealt(2 * F.col("classes"), whole))
-    found = base.cut(found.unionByName(_compare(texts.join(ends.drop("near"), "sid").withColumn("j", F.lit(0)), rule)))
+    found = _written(found.unionByName(_compare(texts.join(ends.drop("near"), "sid").withColumn("j", F.lit(0)), rule)))
     left = base.cut(_open(left, found))
     if left.isEmpty():
         return found
@@ -406,7 +414,7 @@ def _links(texts: DataFrame, blocks: tuple[int, int, int], rule: Rule) -> DataFr
     # joined first, multiplied after: what is multiplied below the join counts as small as before, and would be broadcast
     both = texts.join(left.select("sid", "label", "top", "first", "others"), "sid")
     tasks = both.select("near", "sid", "label", "text", F.explode(F.when(F.col("label") == F.col("top"), of_top).otherwise(of_rest)).alias("p")).select("near", "p.i", "p.j", "sid", "label", "text")
-    return base.cut(found.unionByName(_compare(tasks, rule)))
+    return _written(found.unionByName(_compare(tasks, rule)))
 
 
 def link_documents(documents: DataFrame, blocks: tuple[int, int, int] = BLOCKS, rule: Rule = RULE) -> DataFrame:
@@ -415,12 +423,15 @@ def link_documents(documents: DataFrame, blocks: tuple[int, int, int] = BLOCKS,
     whole = d.where("doc_id is not null and text is not null")
     met = base.map_batches(base.map_batches(whole, partial(_emit, rule=rule), ROWS).repartition("key").sortWithinPartitions("kind", "key", "a"), _meet, ROWS)
     met = base.cut(met)
+    base.release_shuffles(met.sparkSession)
     docs = met.where(f"kind = {DOC}").select(F.col("a").alias("doc_id"), F.col("b").alias("sid"), F.col("n").alias("n_shingles"))
     reps = base.cut(docs.groupBy("sid").agg(F.min("doc_id").alias("rep")))
     near = base.cut(components(met.where(f"kind = {EDGE}").select("a", "b")))
     many = base.cut(near.groupBy("component").agg(F.count("*").alias("n")))  # written, so that its size is known: where it is small, no component meets in one task
     members = near.join(many, "component").select(F.col("node").alias("sid"), F.col("component").alias("near"), "n").join(reps, "sid").withColumnRenamed("rep", "doc_id")
-    links = _links(base.cut(whole.join(members, "doc_id").select("near", "n", "sid", "text")), blocks, rule)
+    texts = base.cut(whole.join(members, "doc_id").select("near", "n", "sid", "text"))
+    base.release_shuffles(texts.sparkSession)
+    links = _links(texts, blocks, rule)
     classes = components(links).select(F.col("node").alias("sid"), "component")
     named = reps.join(classes, "sid", "left").select("sid", "rep", F.coalesce("component", "sid").alias("component"))
     least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
